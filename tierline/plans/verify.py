@@ -85,6 +85,6 @@ def verify_gold(layers: Layers) -> None:
 
 def _require_none(mismatches: DataFrame, sides: str) -> None:
     # at most one row per landed file or feed, and normally none
-    rows = [row.asDict() for row in mismatches.orderBy(*mismatches.columns[:-2]).collect()]
+    rows = [row.asDict() for row in sorted(mismatches.collect())]
     if rows:
         raise ReconciliationError(f"row counts of {sides} differ in {len(rows)} case(s): {rows}")

@@ -2,9 +2,14 @@
 
 from pyspark.sql import SparkSession
 
-# Times are stored as UTC instants, so the zone is part of the table contract. Casts must fail
-# loudly on overflow, which is what ANSI mode gives.
-REQUIRED = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
+REQUIRED = {
+    # times are stored as UTC instants, so the zone is part of the table contract
+    "spark.sql.session.timeZone": "UTC",
+    # casts must fail loudly on overflow
+    "spark.sql.ansi.enabled": "true",
+    # a task's input spans few periods: keep their writers open instead of sorting its rows
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
+}
 
 
 def get_session(app: str = "tierline", **conf: str) -> SparkSession:

@@ -39,6 +39,15 @@ def rename_new(spark: SparkSession, source: str, target: str) -> None:
     context.rename(path, destination, no_overwrite)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename `source` to a `target` known not to exist."""
+    file_system, path = _resolve(spark, source)
+    _, destination = _resolve(spark, target)
+    file_system.mkdirs(destination.getParent())
+    if not file_system.rename(path, destination):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def remove(spark: SparkSession, directory: str) -> None:
     """Delete a directory this library created and never published."""
     file_system, path = _resolve(spark, directory)

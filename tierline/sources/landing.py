@@ -71,8 +71,8 @@ def landing_counts(spark: SparkSession, landing_dir: str) -> DataFrame:
     The scan asks for no column, so only Parquet footers are read.
     """
     landed = landed_files(spark, landing_dir)
-    if landed.isEmpty():
-        return landed.withColumn("landing_rows", F.lit(0).cast("bigint"))
+    if not child_names(spark, landing_dir):
+        return landed.select("source_file", F.lit(0).cast("bigint").alias("landing_rows"))
     footers = (
         spark.read.schema(T.StructType([]))
         .option("recursiveFileLookup", True)

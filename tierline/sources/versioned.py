@@ -22,6 +22,9 @@ from tierline.sources.files import child_names, remove, rename_new
 
 VERSION_COLUMN = "_commit_version"
 VERSION_FIELD = T.StructField(VERSION_COLUMN, T.LongType())
+# Tasks move their own files into the staging directory, instead of the driver moving all of them
+# one by one at the end. A half-finished job is harmless there: only the rename publishes.
+TASK_COMMIT = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType()),
@@ -74,13 +77,20 @@ class VersionedTable:
     def schema(self) -> T.StructType | None:
         """Columns of the table without the commit version, None before the first commit.
 
-        Every append carries all columns the table has had, so the newest commit shows them all
-        and no reader has to merge the footers of older ones.
+        Every append carries all columns the table has had, so one file of the newest commit shows
+        them all and no reader has to merge the footers of older ones.
         """
         if self.contract is not None:
             return self.contract
         last = self.last_version()
-        return None if last < 0 else self.spark.read.parquet(self.version_path(last)).schema
+        if last < 0:
+            return None
+        path = self.version_path(last)
+        one = next(name for name in child_names(self.spark, path) if self._is_leading(name))
+        return self.spark.read.option("basePath", path).parquet(f"{path}/{one}").schema
+
+    def _is_leading(self, name: str) -> bool:
+        return name.startswith(f"{self.partitions[0]}=")
 
     def read(self) -> DataFrame:
         """All rows, each with its `_commit_version`."""
@@ -124,7 +134,7 @@ class VersionedTable:
             unquote(name[len(prefix) :])
             for version in self.versions()
             for name in child_names(self.spark, self.version_path(version))
-            if name.startswith(prefix)
+            if self._is_leading(name)
         }
         return sorted(found)
 
@@ -140,6 +150,7 @@ class VersionedTable:
         (
             df.observe(observed, F.count(F.lit(1)).alias("rows"))
             .write.partitionBy(*self.partitions)
+            .options(**TASK_COMMIT)
             .parquet(staging)
         )
         rows = observed.get["rows"]

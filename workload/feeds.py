@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tierline import FeedSpec, Layers, build
 from tierline.session import require_settings
-from tierline.sources.files import child_names, remove_at_exit, rename_new
+from tierline.sources.files import child_names, move, remove_at_exit
 
 FEED_A = FeedSpec("a", "a_start_ts", "a_end_ts")
 FEED_B = FeedSpec("b", "b_start_ts", "b_end_ts")
@@ -117,7 +117,7 @@ def land(spark: SparkSession, staging: str, layers: Layers, before: str | None =
                 if period and (before is None or period[0] < before):
                     source = f"{staging}/{feed}/{part}/{name}"
                     target = f"{layers.landing(feed)}/{name.removeprefix('entry=')}"
-                    rename_new(spark, source, target)
+                    move(spark, source, target)
 
 
 def scratch_root(spark: SparkSession) -> str:
