@@ -27,6 +27,17 @@ def _canonical(rows: list[tuple], names: list[str]) -> tuple[list[str], list[str
     return [names[i] for i in order], sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
+# Spark type of each DuckDB type a query may return
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def difference(spark_rows: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """A description of the first difference, or None."""
     names, got = _canonical([tuple(row) for row in spark_rows.collect()], spark_rows.columns)
@@ -34,6 +45,9 @@ def difference(spark_rows: DataFrame, connection: duckdb.DuckDBPyConnection, sql
     wanted_names, wanted = _canonical(result.fetchall(), [column[0] for column in result.description])
     if names != wanted_names:
         return f"columns {names} != {wanted_names}"
+    wanted_types = {column[0]: TYPES.get(str(column[1]), str(column[1])) for column in result.description}
+    if dict(spark_rows.dtypes) != wanted_types:
+        return f"types {dict(spark_rows.dtypes)} != {wanted_types}"
     if len(got) != len(wanted):
         return f"{len(got)} rows != {len(wanted)}"
     for ours, theirs in zip(got, wanted, strict=True):

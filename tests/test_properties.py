@@ -1,0 +1,39 @@
+"""Generated feeds: hops keep rows, and neither splitting nor repeating runs changes the result."""
+
+import tempfile
+
+from conftest import X, land, values
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tierline import GOLD, Layers, build
+
+AMOUNTS = st.lists(
+    st.one_of(st.none(), st.integers(-(10**7), 10**7).map(lambda cents: cents / 100)), max_size=5
+)
+FILES = st.dictionaries(st.integers(1, 6), AMOUNTS, min_size=1, max_size=4)
+CONTENT = [name for name in GOLD.names if name != "_source_version"]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(files=FILES, cut=st.integers(0, 6))
+def test_split_and_repeated_runs_equal_one_run(spark, files, cut):
+    with tempfile.TemporaryDirectory() as directory:
+        whole, split = (Layers(spark, f"{directory}/{name}") for name in ("whole", "split"))
+        for month, amounts in files.items():
+            land(whole, X, f"x_2020-0{month}.parquet", amounts)
+        build(whole, [X])
+        for later in (False, True):
+            for month, amounts in files.items():
+                if (month > cut) == later:
+                    land(split, X, f"x_2020-0{month}.parquet", amounts)
+            build(split, [X])
+        before = {name: getattr(split, name).versions() for name in ("silver", "gold")}
+        build(split, [X])
+        assert before == {name: getattr(split, name).versions() for name in ("silver", "gold")}
+
+        rows = sum(map(len, files.values()))
+        assert whole.silver.read().count() == rows and split.gold.read().count() == rows
+        assert values(split.gold.read(), *CONTENT) == values(whole.gold.read(), *CONTENT)
+        assert split.silver.watermark("x") == split.bronze("x").last_version()
+        assert split.gold.watermark() == split.silver.last_version()

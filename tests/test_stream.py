@@ -1,0 +1,83 @@
+"""The streamed hops give what the batch hops give, once, whatever is rerun or replayed."""
+
+import pytest
+from conftest import X, Y, land, values
+
+from tierline import Layers, conform, ingest, publish
+from tierline.schema import GOLD, SILVER
+from tierline.streaming.hops import append_batch, stream_conform, stream_inserts, stream_publish
+
+
+@pytest.fixture
+def streams(layers):
+    """Bronze of two feeds, a separate target, and a function running both hops over it."""
+    target = Layers(layers.spark, f"{layers.root}-streamed")
+
+    def run() -> None:
+        checkpoint = f"{target.root}/checkpoint"
+        stream_conform(layers, [X, Y], target.silver, f"{checkpoint}/silver").awaitTermination()
+        stream_publish(target.silver, target.gold, f"{checkpoint}/gold").awaitTermination()
+
+    land(layers, X, "x_2020-01.parquet", [1.0, None])
+    land(layers, Y, "y_2020-01.parquet", [-1.0])
+    for feed in (X, Y):
+        ingest(layers, feed)
+    return layers, target, run
+
+
+def test_same_rows_as_the_batch_hops(streams):
+    layers, target, run = streams
+    run()
+    land(layers, X, "x_2020-02.parquet", [5.0])
+    ingest(layers, X)
+    run()
+    conform(layers, [X, Y])
+    publish(layers)
+    for name, contract in (("silver", SILVER), ("gold", GOLD)):
+        columns = [c for c in contract.names if name == "silver" or c != "_source_version"]
+        streamed, batch = getattr(target, name), getattr(layers, name)
+        assert values(streamed.read(), *columns) == values(batch.read(), *columns)
+
+
+def test_rerun_is_a_no_op_and_only_new_versions_are_read(streams):
+    layers, target, run = streams
+    run()
+    first = target.silver.versions()
+    run()
+    assert target.silver.versions() == first and target.gold.read().count() == 3
+    land(layers, X, "x_2020-02.parquet", [5.0])
+    ingest(layers, X)
+    run()
+    last = target.silver.last_version()
+    assert last > max(first)
+    assert values(target.silver.read().where(f"_commit_version = {last}"), "month", "_source_version") == [(2, 1)]
+    assert target.gold.read().count() == 4
+
+
+def test_replayed_batch_is_skipped(streams):
+    _, target, run = streams
+    run()
+    silver = target.silver
+    batch = silver.read().drop("_commit_version")
+    append_batch(silver, "replay", batch, silver.last_version())
+    assert silver.read().count() == 3
+    append_batch(silver, "next", batch.limit(0), silver.last_version() + 1)
+    assert silver.last_version() == 0
+
+
+def test_bounded_batches_lose_and_double_nothing(streams):
+    layers, target, _ = streams
+    for month in range(2, 6):
+        land(layers, X, f"x_2020-0{month}.parquet", [float(month)])
+        ingest(layers, X)
+    query = stream_conform(layers, [X, Y], target.silver, f"{target.root}/checkpoint", max_bytes="1")
+    query.awaitTermination()
+    assert len(target.silver.versions()) > 1
+    assert values(target.silver.read(), "feed", "month", "_source_version") == [
+        ("x", 1, 0), ("x", 1, 0), ("x", 2, 1), ("x", 3, 2), ("x", 4, 3), ("x", 5, 4), ("y", 1, 0),
+    ]
+
+
+def test_stream_needs_a_committed_source(layers):
+    with pytest.raises(ValueError, match="nothing committed"):
+        stream_inserts(layers.bronze("x"))

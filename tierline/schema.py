@@ -51,10 +51,20 @@ GOLD = T.StructType(
     ]
 )
 
+LAYER_COMMENTS = {
+    "bronze": "Raw rows of each feed as landed, plus the name of the file they came from.",
+    "silver": "All feeds in one table of canonical, typed columns.",
+    "gold": "The table that answers questions.",
+}
 SILVER_COMMENT = "All feeds conformed to one set of typed columns. Bad rows are flagged, none dropped."
 GOLD_COMMENT = "Join-free table for analysis: conformed columns plus the start hour, no filter."
 SOURCE_FILE_COMMENT = "Name of the landed file, key of lineage and of incremental ingestion"
 
+
+def bronze_comment(feed: str) -> str:
+    return f"Raw rows of feed {feed}: lowercased column names plus source_file."
+
+
 # Bronze and period directories: constant within one landed file, so a hop never shuffles to write.
 BRONZE_PARTITIONS = ("source_file",)
 PERIOD_PARTITIONS = ("feed", "year", "month")

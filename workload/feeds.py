@@ -7,6 +7,7 @@ monthly entry. Parts of a feed whose files have different schemas are written se
 import re
 import tempfile
 from collections.abc import Callable
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -133,6 +134,7 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 _BUILT: dict[tuple[str, str], Layers] = {}
+_BUILDING = Lock()
 
 
 def built_layers(spark: SparkSession, sf_dir: str) -> Layers:
@@ -142,14 +144,15 @@ def built_layers(spark: SparkSession, sf_dir: str) -> Layers:
     first, the rest after.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BUILT:
-        require_settings(spark)
-        root = scratch_root(spark)
-        layers = Layers(spark, f"{root}/prod")
-        write_entries(spark, sf_dir, f"{root}/written")
-        land(spark, f"{root}/written", layers, before=SECOND_RUN_FROM)
-        build(layers, FEEDS)
-        land(spark, f"{root}/written", layers)
-        build(layers, FEEDS)
-        _BUILT[key] = layers
+    with _BUILDING:
+        if key not in _BUILT:
+            require_settings(spark)
+            root = scratch_root(spark)
+            layers = Layers(spark, f"{root}/prod")
+            write_entries(spark, sf_dir, f"{root}/written")
+            land(spark, f"{root}/written", layers, before=SECOND_RUN_FROM)
+            build(layers, FEEDS)
+            land(spark, f"{root}/written", layers)
+            build(layers, FEEDS)
+            _BUILT[key] = layers
     return _BUILT[key]

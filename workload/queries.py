@@ -17,6 +17,7 @@ from tierline.operators import conform as C
 from tierline.operators import reconcile as R
 from tierline.plans import exploration, quality, questions, verify
 from tierline.plans.pipeline import ingested_files
+from tierline.session import require_settings
 from tierline.sources import landing
 from tierline.streaming.hops import stream_conform, stream_publish
 from workload.feeds import FEEDS, built_layers
@@ -31,7 +32,11 @@ NAMES = [feed.name for feed in FEEDS]
 
 def on_layers(query: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]:
     """Register a function of the built layers under its own name."""
-    QUERIES[query.__name__] = lambda spark, sf_dir: query(built_layers(spark, sf_dir))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(built_layers(require_settings(spark), sf_dir))
+
+    QUERIES[query.__name__] = run
     return query
 
 
