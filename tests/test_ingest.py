@@ -85,7 +85,7 @@ def test_empty_file_never_enters_bronze_and_still_reconciles(layers):
     land(layers, X, "x_2020-01.parquet", [])
     assert ingest(layers, X) is None
     assert not layers.bronze("x").exists()
-    assert values(landing_counts(layers.spark, layers.landing("x"))) == [("x_2020-01.parquet", 0)]
+    assert values(landing_counts(layers.spark, {"x": layers.landing("x")})) == [("x", "x_2020-01.parquet", 0)]
     verify_bronze(layers, [X])
     land(layers, X, "x_2020-02.parquet", [1.0])
     assert ingest(layers, X).rows == 1
@@ -123,9 +123,9 @@ def test_entry_may_be_a_directory_of_part_files(layers):
     land_table(layers, "x", "x_2020-02.parquet", longs(1))
     assert ingest(layers, X).rows == 101
     verify_bronze(layers, [X])
-    assert values(landing_counts(layers.spark, layers.landing("x"))) == [
-        ("x_2020-01.parquet", 100),
-        ("x_2020-02.parquet", 1),
+    assert values(landing_counts(layers.spark, {"x": layers.landing("x")})) == [
+        ("x", "x_2020-01.parquet", 100),
+        ("x", "x_2020-02.parquet", 1),
     ]
 
 

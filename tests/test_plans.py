@@ -73,8 +73,9 @@ def test_ingest_reads_each_schema_in_one_scan_without_a_shuffle(built):
 
 def test_counts_read_no_column(built):
     for counts in (
-        landing_counts(built.spark, built.landing("x")),
-        verify.file_counts(built.bronze("x")),
+        landing_counts(built.spark, {"x": built.landing("x")}),
+        verify.file_counts(built, [X]),
+        verify.bronze_totals(built, [X]),
         verify.feed_totals(built.silver),
         exploration.month_coverage(built.gold.read()),
         exploration.files_and_rows(built, [X]),

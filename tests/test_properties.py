@@ -15,7 +15,7 @@ FILES = st.dictionaries(st.integers(1, 6), AMOUNTS, min_size=1, max_size=4)
 CONTENT = [name for name in GOLD.names if name != "_source_version"]
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(files=FILES, cut=st.integers(0, 6))
 def test_split_and_repeated_runs_equal_one_run(spark, files, cut):
     with tempfile.TemporaryDirectory() as directory:

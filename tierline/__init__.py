@@ -1,7 +1,7 @@
 """Incremental layered tables (bronze, silver, gold) on plain Parquet and stock Spark."""
 
 from tierline.plans.layers import Layers
-from tierline.plans.pipeline import build, conform, ingest, publish
+from tierline.plans.pipeline import build, conform, ingest, ingest_all, publish
 from tierline.schema import GOLD, SILVER, FeedSpec
 from tierline.session import get_session
 from tierline.sources.versioned import VersionedTable
@@ -16,5 +16,6 @@ __all__ = [
     "conform",
     "get_session",
     "ingest",
+    "ingest_all",
     "publish",
 ]

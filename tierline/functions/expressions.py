@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Period in a file name, share scale, amount buckets (exclusive upper bounds).
-PERIOD_PATTERN = "([0-9]{4})-([0-9]{2})"
+PERIOD_PATTERN = "[0-9]{4}-[0-9]{2}"
 HUNDRED = Decimal("100.0")
 AMOUNT_BUCKETS = (("0-20", 20), ("20-50", 50), ("50-100", 100))
 LAST_BUCKET = "100+"
@@ -14,12 +14,17 @@ LAST_BUCKET = "100+"
 
 def file_year(name: Column) -> Column:
     """Year in a file name. A name without YYYY-MM fails the cast under ANSI."""
-    return F.regexp_extract(name, PERIOD_PATTERN, 1).cast("int")
+    return F.substring(_file_period(name), 1, 4).cast("int")
 
 
 def file_month(name: Column) -> Column:
     """Month in a file name, like file_year."""
-    return F.regexp_extract(name, PERIOD_PATTERN, 2).cast("int")
+    return F.substring(_file_period(name), 6, 2).cast("int")
+
+
+def _file_period(name: Column) -> Column:
+    """First YYYY-MM in a name. Year and month share it, so a row's name is matched once."""
+    return F.regexp_extract(name, PERIOD_PATTERN, 0)
 
 
 def month_index(year: Column, month: Column) -> Column:

@@ -15,30 +15,34 @@ def new_files(landed: DataFrame, ingested: DataFrame) -> DataFrame:
     return landed.join(ingested, "source_file", "left_anti").orderBy("source_file")
 
 
-def reconcile_left(left: DataFrame, right: DataFrame, key: str, counts: tuple[str, str]) -> DataFrame:
+def reconcile_left(
+    left: DataFrame, right: DataFrame, keys: list[str], counts: tuple[str, str]
+) -> DataFrame:
     """Keys of `left` whose count differs from `right`'s; missing right means 0.
 
     Keys only on the right are not reported.
     """
-    return _mismatches(left.join(right, key, "left"), key, counts)
+    return _mismatches(left.join(right, keys, "left"), keys, counts)
 
 
-def reconcile_both(left: DataFrame, right: DataFrame, key: str, counts: tuple[str, str]) -> DataFrame:
+def reconcile_both(
+    left: DataFrame, right: DataFrame, keys: list[str], counts: tuple[str, str]
+) -> DataFrame:
     """Keys of either side whose counts differ; missing means 0 on both sides."""
-    return _mismatches(left.join(right, key, "full_outer"), key, counts)
+    return _mismatches(left.join(right, keys, "full_outer"), keys, counts)
 
 
 def reconcile_fixed(
-    keys: DataFrame, left: DataFrame, right: DataFrame, key: str, counts: tuple[str, str]
+    wanted: DataFrame, left: DataFrame, right: DataFrame, keys: list[str], counts: tuple[str, str]
 ) -> DataFrame:
-    """Only the given keys are compared; missing means 0 on both sides."""
-    joined = keys.select(key).join(left, key, "left").join(right, key, "left")
-    return _mismatches(joined, key, counts)
+    """Only the wanted keys are compared; missing means 0 on both sides."""
+    joined = wanted.select(*keys).join(left, keys, "left").join(right, keys, "left")
+    return _mismatches(joined, keys, counts)
 
 
-def _mismatches(joined: DataFrame, key: str, counts: tuple[str, str]) -> DataFrame:
+def _mismatches(joined: DataFrame, keys: list[str], counts: tuple[str, str]) -> DataFrame:
     filled = [F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in counts]
-    return joined.select(key, *filled).where(F.col(counts[0]) != F.col(counts[1]))
+    return joined.select(*keys, *filled).where(F.col(counts[0]) != F.col(counts[1]))
 
 
 def missing_periods(landed: DataFrame, start: str, end: str | None = None) -> DataFrame:

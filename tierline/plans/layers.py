@@ -4,7 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from tierline.schema import BRONZE_PARTITIONS, GOLD, PERIOD_PARTITIONS, SILVER
+from tierline.schema import BRONZE_PARTITIONS, GOLD, GOLD_PARTITIONS, SILVER, SILVER_PARTITIONS
 from tierline.sources.versioned import VersionedTable
 
 
@@ -24,13 +24,8 @@ class Layers:
 
     @property
     def silver(self) -> VersionedTable:
-        return self.contract_table("silver", "activity")
+        return VersionedTable(self.spark, f"{self.root}/silver/activity", SILVER_PARTITIONS, SILVER)
 
     @property
     def gold(self) -> VersionedTable:
-        return self.contract_table("gold", "activity")
-
-    def contract_table(self, layer: str, name: str) -> VersionedTable:
-        """A table under the silver or gold contract, clustered by feed and period."""
-        contract = {"silver": SILVER, "gold": GOLD}[layer]
-        return VersionedTable(self.spark, f"{self.root}/{layer}/{name}", PERIOD_PARTITIONS, contract)
+        return VersionedTable(self.spark, f"{self.root}/gold/activity", GOLD_PARTITIONS, GOLD)

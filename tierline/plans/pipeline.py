@@ -5,6 +5,7 @@ them again with nothing new commits nothing.
 """
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -36,6 +37,15 @@ def ingest(layers: Layers, feed: FeedSpec) -> Commit | None:
     return bronze.append(conform_to_table(batch, bronze.schema()), f"ingest {feed.name}")
 
 
+def ingest_all(layers: Layers, feeds: Iterable[FeedSpec]) -> list[Commit]:
+    """Ingest every feed. Their tables are independent, so one feed's jobs fill the slots that
+    another's listing, schema reading and last tasks leave idle."""
+    feeds = list(feeds)
+    with ThreadPoolExecutor(max(1, len(feeds))) as pool:
+        commits = pool.map(lambda feed: ingest(layers, feed), feeds)
+        return [commit for commit in commits if commit is not None]
+
+
 def conform(layers: Layers, feeds: Iterable[FeedSpec]) -> list[Commit]:
     """Append each feed's new bronze versions to silver, one commit per feed.
 
@@ -70,8 +80,7 @@ def build(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
     Returns the gold rows.
     """
     feeds = list(feeds)
-    for feed in feeds:
-        ingest(layers, feed)
+    ingest_all(layers, feeds)
     verify_bronze(layers, feeds)
     conform(layers, feeds)
     verify_silver(layers, feeds)

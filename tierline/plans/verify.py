@@ -5,17 +5,16 @@ any. All counts are by partition columns, so they read Parquet footers, not data
 """
 
 from collections.abc import Iterable
-from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators.aggregates import count_rows
 from tierline.operators.reconcile import reconcile_both, reconcile_fixed, reconcile_left
 from tierline.plans.layers import Layers
 from tierline.schema import FeedSpec
-from tierline.sources.landing import landing_counts
+from tierline.sources.landing import landing_counts, stack_feeds
 from tierline.sources.versioned import VersionedTable
 
 
@@ -23,19 +22,25 @@ class ReconciliationError(ValueError):
     """Two layers disagree on how many rows a key has."""
 
 
-def file_counts(bronze: VersionedTable) -> DataFrame:
-    """Rows per source file in a bronze table; none before its first commit."""
-    return count_rows(bronze.read(), "source_file", alias="bronze_rows")
+def file_counts(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
+    """Rows per source file in the feeds' bronze tables."""
+    rows = {feed.name: layers.bronze(feed.name).read().select("source_file") for feed in feeds}
+    return count_rows(stack_feeds(rows), "feed", "source_file", alias="bronze_rows")
 
 
 def bronze_totals(layers: Layers, feeds: Iterable[FeedSpec], alias: str = "rows") -> DataFrame:
     """Rows per feed over the bronze tables; 0 for a feed that never landed."""
+    ones = {
+        feed.name: layers.bronze(feed.name).read().select(F.lit(1).cast("bigint").alias("n"))
+        for feed in feeds
+    }
+    floor = feed_frame(layers.spark, ones).withColumn("n", F.lit(0).cast("bigint"))
+    return stack_feeds(ones).union(floor).groupBy("feed").agg(F.sum("n").alias(alias))
 
-    def total(feed: str) -> DataFrame:
-        rows = count_rows(layers.bronze(feed).read(), alias=alias)
-        return rows.select(F.lit(feed).alias("feed"), alias)
 
-    return reduce(DataFrame.union, [total(feed.name) for feed in feeds])
+def feed_frame(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """A local one-column frame of feed names."""
+    return spark.createDataFrame(pa.table({"feed": pa.array(list(names), pa.string())}))
 
 
 def feed_totals(table: VersionedTable, alias: str = "rows") -> DataFrame:
@@ -45,30 +50,26 @@ def feed_totals(table: VersionedTable, alias: str = "rows") -> DataFrame:
 
 def bronze_mismatches(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
     """Landed files whose rows are not all in bronze. Bronze-only files are not looked at."""
-
-    def of_feed(feed: str) -> DataFrame:
-        landing = landing_counts(layers.spark, layers.landing(feed))
-        bronze = file_counts(layers.bronze(feed))
-        differing = reconcile_left(landing, bronze, "source_file", ("landing_rows", "bronze_rows"))
-        return differing.select(F.lit(feed).alias("feed"), "source_file", "landing_rows", "bronze_rows")
-
-    return reduce(DataFrame.union, [of_feed(feed.name) for feed in feeds])
+    feeds = list(feeds)
+    landing = landing_counts(layers.spark, {feed.name: layers.landing(feed.name) for feed in feeds})
+    bronze = file_counts(layers, feeds)
+    return reconcile_left(landing, bronze, ["feed", "source_file"], ("landing_rows", "bronze_rows"))
 
 
 def silver_mismatches(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
     """Configured feeds whose rows differ between bronze and silver."""
     feeds = list(feeds)
-    keys = layers.spark.createDataFrame(pa.table({"feed": [feed.name for feed in feeds]}))
+    keys = feed_frame(layers.spark, [feed.name for feed in feeds])
     bronze = bronze_totals(layers, feeds, "bronze_rows")
     silver = feed_totals(layers.silver, "silver_rows")
-    return reconcile_fixed(keys, bronze, silver, "feed", ("bronze_rows", "silver_rows"))
+    return reconcile_fixed(keys, bronze, silver, ["feed"], ("bronze_rows", "silver_rows"))
 
 
 def gold_mismatches(layers: Layers) -> DataFrame:
     """Feeds on either side whose rows differ between silver and gold."""
     silver = feed_totals(layers.silver, "silver_rows")
     gold = feed_totals(layers.gold, "gold_rows")
-    return reconcile_both(silver, gold, "feed", ("silver_rows", "gold_rows"))
+    return reconcile_both(silver, gold, ["feed"], ("silver_rows", "gold_rows"))
 
 
 def verify_bronze(layers: Layers, feeds: Iterable[FeedSpec]) -> None:

@@ -65,6 +65,9 @@ def bronze_comment(feed: str) -> str:
     return f"Raw rows of feed {feed}: lowercased column names plus source_file."
 
 
-# Bronze and period directories: constant within one landed file, so a hop never shuffles to write.
+# Directory keys. They are (nearly) constant within an input split, so a hop never shuffles to write.
+# Silver keeps year and month inside its files: a file comes from few landed files, so its row-group
+# statistics already narrow a period, and only gold is read by period often enough for directories.
 BRONZE_PARTITIONS = ("source_file",)
-PERIOD_PARTITIONS = ("feed", "year", "month")
+SILVER_PARTITIONS = ("feed",)
+GOLD_PARTITIONS = ("feed", "year", "month")

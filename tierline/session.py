@@ -28,4 +28,7 @@ def require_settings(spark: SparkSession) -> SparkSession:
     """Apply the settings in REQUIRED to a session made elsewhere."""
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    # by default every directory is listed by a task of its own
+    cores = str(spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", cores)
     return spark

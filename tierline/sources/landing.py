@@ -6,6 +6,7 @@ Parquet file or a directory of part files (how Spark itself writes a big one). I
 """
 
 from collections import defaultdict
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -30,18 +31,22 @@ def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     return name_frame(spark, [name for name in names if name.endswith(".parquet")])
 
 
-def source_file(landing_dir: str) -> Column:
-    """Landing entry a scanned row belongs to, from the path Spark reports for its file."""
+def entry_name(path: Column, landing_dir: str) -> Column:
+    """Landing entry that a file path reported by Spark belongs to.
+
+    It runs once per scanned row, so it only searches bytes; the decoding branch is for names with
+    characters that are escaped in a URI ('+' is not, but would be decoded).
+    """
     base = landing_dir.rstrip("/").rsplit("/", 1)[-1]
-    # the reported path is URI-encoded, where '+' stands for itself
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return F.regexp_extract(path, rf"/\Q{base}\E/([^/]+\.parquet)(?:/.*)?$", 1)
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    plain = F.when(path.contains("%"), decoded).otherwise(path)
+    return F.substring_index(F.substring_index(plain, f"/{base}/", -1), "/", 1)
 
 
 def read_clean(spark: SparkSession, landing_dir: str, names: list[str]) -> DataFrame:
     """Read same-schema entries in one scan, lowercase the columns and add `source_file`."""
     raw = spark.read.parquet(*[f"{landing_dir}/{name}" for name in names])
-    tagged = raw.withColumn("source_file", source_file(landing_dir))
+    tagged = raw.withColumn("source_file", entry_name(F.col("_metadata.file_path"), landing_dir))
     return tagged.toDF(*[name.lower() for name in tagged.columns])
 
 
@@ -65,23 +70,39 @@ def read_new_files(spark: SparkSession, landing_dir: str, names: list[str]) -> D
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)
 
 
-def landing_counts(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """Rows of every landed entry, 0 for an empty one.
+def landing_counts(spark: SparkSession, landing_dirs: Mapping[str, str]) -> DataFrame:
+    """Rows of every landed entry of the feeds (feed -> directory), 0 for an empty entry.
 
-    The scan asks for no column, so only Parquet footers are read.
+    The scans ask for no column, so only Parquet footers are read. Rows are counted per file path
+    first; names are made of the few paths, not of every row's.
     """
-    landed = landed_files(spark, landing_dir)
+    names = stack_feeds({feed: landed_files(spark, path) for feed, path in landing_dirs.items()})
+    paths = {feed: _row_paths(spark, path) for feed, path in landing_dirs.items()}
+    per_path = stack_feeds(paths).groupBy("feed", "path").agg(F.count(F.lit(1)).alias("n"))
+    name = F.lit(None)
+    for feed, path in landing_dirs.items():
+        name = F.when(F.col("feed") == feed, entry_name(F.col("path"), path)).otherwise(name)
+    per_entry = per_path.groupBy("feed", name.alias("source_file")).agg(F.sum("n").alias("n"))
+    return names.join(per_entry, ["feed", "source_file"], "left").select(
+        "feed", "source_file", F.coalesce("n", F.lit(0)).cast("bigint").alias("landing_rows")
+    )
+
+
+def _row_paths(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """The file path of every landed row."""
     if not child_names(spark, landing_dir):
-        return landed.select("source_file", F.lit(0).cast("bigint").alias("landing_rows"))
-    footers = (
+        return spark.createDataFrame(pa.table({"path": pa.array([], pa.string())}))
+    scan = (
         spark.read.schema(T.StructType([]))
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .parquet(landing_dir)
     )
-    counts = footers.groupBy(source_file(landing_dir).alias("source_file")).agg(
-        F.count(F.lit(1)).alias("scanned")
-    )
-    return landed.join(counts, "source_file", "left").select(
-        "source_file", F.coalesce("scanned", F.lit(0)).cast("bigint").alias("landing_rows")
-    )
+    return scan.select(F.col("_metadata.file_path").alias("path"))
+
+
+def stack_feeds(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Union of per-feed frames by position, labelled with the feed. Aggregating the union takes
+    one shuffle, not one per feed."""
+    labelled = [df.select(F.lit(feed).alias("feed"), "*") for feed, df in frames.items()]
+    return reduce(DataFrame.union, labelled)

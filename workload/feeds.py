@@ -7,6 +7,7 @@ monthly entry. Parts of a feed whose files have different schemas are written se
 import re
 import tempfile
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 from uuid import uuid4
 
@@ -103,10 +104,18 @@ def write_entries(spark: SparkSession, sf_dir: str, staging: str) -> None:
     Rows are rebalanced by month. Under adaptive execution small months share a task and a hot one
     is split over many, which gives its entry several part files.
     """
-    for feed, derive in DERIVE.items():
-        for number, rows in enumerate(derive(spark, sf_dir)):
-            balanced = spark.sql("select /*+ rebalance(entry) */ * from {rows}", rows=rows)
-            balanced.write.partitionBy("entry").parquet(f"{staging}/{feed}/{number}")
+
+    def write(rows: DataFrame, path: str) -> None:
+        balanced = spark.sql("select /*+ rebalance(entry) */ * from {rows}", rows=rows)
+        balanced.write.partitionBy("entry").parquet(path)
+
+    parts = [
+        (rows, f"{staging}/{feed}/{number}")
+        for feed, derive in DERIVE.items()
+        for number, rows in enumerate(derive(spark, sf_dir))
+    ]
+    with ThreadPoolExecutor(len(parts)) as pool:
+        list(pool.map(write, *zip(*parts, strict=True)))
 
 
 def land(spark: SparkSession, staging: str, layers: Layers, before: str | None = None) -> None:

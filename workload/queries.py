@@ -290,8 +290,8 @@ def jn1_new_files(layers: Layers) -> DataFrame:
 def jn2_landing_vs_bronze(layers: Layers) -> DataFrame:
     """Landing against the bronze rows of the first run only: the second run's files differ."""
     first_run = A.count_rows(layers.bronze("a").read_inserts_since(0, 0), "source_file", alias="bronze_rows")
-    landed = landing.landing_counts(layers.spark, layers.landing("a"))
-    return R.reconcile_left(landed, first_run, "source_file", ("landing_rows", "bronze_rows"))
+    in_landing = landing.landing_counts(layers.spark, {"a": layers.landing("a")})
+    return R.reconcile_left(in_landing, first_run, ["source_file"], ("landing_rows", "bronze_rows"))
 
 
 @on_layers
@@ -299,16 +299,16 @@ def jn3_silver_vs_gold(layers: Layers) -> DataFrame:
     """Silver's second run against gold's first: every feed differs, one is on one side only."""
     silver = A.count_rows(layers.silver.read_inserts_since(2), "feed", alias="silver_rows")
     gold = A.count_rows(layers.gold.read_inserts_since(0, 0), "feed", alias="gold_rows")
-    return R.reconcile_both(silver, gold, "feed", ("silver_rows", "gold_rows"))
+    return R.reconcile_both(silver, gold, ["feed"], ("silver_rows", "gold_rows"))
 
 
 @on_layers
 def jn4_bronze_vs_silver(layers: Layers) -> DataFrame:
     """All of bronze against silver's first run, for a fixed list with one unknown feed."""
-    keys = layers.spark.createDataFrame([(name,) for name in ["a", "b", "c", "none"]], "feed string")
+    keys = verify.feed_frame(layers.spark, [*NAMES, "none"])
     bronze = verify.bronze_totals(layers, FEEDS, "bronze_rows")
     silver = A.count_rows(layers.silver.read_inserts_since(0, 1), "feed", alias="silver_rows")
-    return R.reconcile_fixed(keys, bronze, silver, "feed", ("bronze_rows", "silver_rows"))
+    return R.reconcile_fixed(keys, bronze, silver, ["feed"], ("bronze_rows", "silver_rows"))
 
 
 @on_layers
@@ -330,12 +330,12 @@ def jn5_missing_periods(layers: Layers) -> DataFrame:
 
 @on_layers
 def agg1_rows_per_file(layers: Layers) -> DataFrame:
-    return per_feed(lambda name: verify.file_counts(layers.bronze(name)))
+    return verify.file_counts(layers, FEEDS)
 
 
 @on_layers
 def agg2_landing_counts(layers: Layers) -> DataFrame:
-    return per_feed(lambda name: landing.landing_counts(layers.spark, layers.landing(name)))
+    return landing.landing_counts(layers.spark, {name: layers.landing(name) for name in NAMES})
 
 
 @on_layers
