@@ -23,6 +23,18 @@ def child_names(spark: SparkSession, directory: str) -> list[str]:
     return sorted(status.getPath().getName() for status in file_system.listStatus(path))
 
 
+def reported_paths(spark: SparkSession, directory: str) -> list[str]:
+    """The ways Spark's file metadata columns may write a directory: absolute, URI-encoded.
+
+    Without a host, both `file:/x` and `file:///x` occur, depending on how files were listed.
+    """
+    _, path = _resolve(spark, directory)
+    uri = path.toUri()
+    host = uri.getRawAuthority()
+    full = f"{uri.getScheme()}://{host or ''}{uri.getRawPath()}"
+    return [full] if host else [full, f"{uri.getScheme()}:{uri.getRawPath()}"]
+
+
 def rename_new(spark: SparkSession, source: str, target: str) -> None:
     """Rename `source` to `target`, failing if `target` exists.
 

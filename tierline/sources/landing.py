@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.sources.files import child_names
+from tierline.sources.files import child_names, reported_paths
 
+MAX_LENGTH = 2**31 - 1  # "to the end" for substring
 SCHEMA_READERS = 16  # footers read at once; each is a one-task Spark job
 
 
@@ -31,22 +32,34 @@ def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     return name_frame(spark, [name for name in names if name.endswith(".parquet")])
 
 
-def entry_name(path: Column, landing_dir: str) -> Column:
-    """Landing entry that a file path reported by Spark belongs to.
+def entry_name(
+    spark: SparkSession, path: Column, landing_dir: str, file_name: Column | None = None
+) -> Column:
+    """Landing entry that a file path reported by Spark belongs to: the segment after the directory.
 
-    It runs once per scanned row, so it only searches bytes; the decoding branch is for names with
-    characters that are escaped in a URI ('+' is not, but would be decoded).
+    It runs once per scanned row, so it avoids searching the path. With the file's own name given,
+    an entry that is a single file costs two comparisons. For a directory entry the segment is cut
+    out as bytes, since cutting text counts its characters (a URI is ASCII, so both agree).
     """
-    base = landing_dir.rstrip("/").rsplit("/", 1)[-1]
-    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    plain = F.when(path.contains("%"), decoded).otherwise(path)
-    return F.substring_index(F.substring_index(plain, f"/{base}/", -1), "/", 1)
+    name = F.raise_error(F.concat(F.lit(f"not under {landing_dir}: "), path))
+    for directory in reported_paths(spark, landing_dir):
+        start = directory.rstrip("/") + "/"
+        rest = F.substring(path.cast("binary"), len(start) + 1, MAX_LENGTH).cast("string")
+        segment = F.substring_index(rest, "/", 1)
+        if file_name is not None:
+            is_file = F.octet_length(path) == F.octet_length(file_name) + len(start)
+            segment = F.when(is_file, file_name).otherwise(segment)
+        name = F.when(path.startswith(start), segment).otherwise(name)
+    # '+' is not escaped in a URI, but decoding would change it
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(name.contains("%"), decoded).otherwise(name)
 
 
 def read_clean(spark: SparkSession, landing_dir: str, names: list[str]) -> DataFrame:
     """Read same-schema entries in one scan, lowercase the columns and add `source_file`."""
     raw = spark.read.parquet(*[f"{landing_dir}/{name}" for name in names])
-    tagged = raw.withColumn("source_file", entry_name(F.col("_metadata.file_path"), landing_dir))
+    path, file_name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    tagged = raw.withColumn("source_file", entry_name(spark, path, landing_dir, file_name))
     return tagged.toDF(*[name.lower() for name in tagged.columns])
 
 
@@ -81,11 +94,13 @@ def landing_counts(spark: SparkSession, landing_dirs: Mapping[str, str]) -> Data
     per_path = stack_feeds(paths).groupBy("feed", "path").agg(F.count(F.lit(1)).alias("n"))
     name = F.lit(None)
     for feed, path in landing_dirs.items():
-        name = F.when(F.col("feed") == feed, entry_name(F.col("path"), path)).otherwise(name)
-    per_entry = per_path.groupBy("feed", name.alias("source_file")).agg(F.sum("n").alias("n"))
-    return names.join(per_entry, ["feed", "source_file"], "left").select(
-        "feed", "source_file", F.coalesce("n", F.lit(0)).cast("bigint").alias("landing_rows")
-    )
+        name = F.when(F.col("feed") == feed, entry_name(spark, F.col("path"), path)).otherwise(name)
+    # listed names take part with 0 rows; a join to them would push its key's NULL test, and with
+    # it the naming, below the count
+    counted = per_path.select("feed", name.alias("source_file"), "n")
+    listed = names.withColumn("n", F.lit(0).cast("bigint"))
+    rows = listed.union(counted).groupBy("feed", "source_file")
+    return rows.agg(F.sum("n").alias("landing_rows"))
 
 
 def _row_paths(spark: SparkSession, landing_dir: str) -> DataFrame:

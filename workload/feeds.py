@@ -119,15 +119,23 @@ def write_entries(spark: SparkSession, sf_dir: str, staging: str) -> None:
 
 
 def land(spark: SparkSession, staging: str, layers: Layers, before: str | None = None) -> None:
-    """Move written entries (those of months before `before`) into the landing directories."""
+    """Move written entries (those of months before `before`) into the landing directories.
+
+    An entry of one part becomes a single file, one of several stays a directory.
+    """
     for feed in DERIVE:
         for part in child_names(spark, f"{staging}/{feed}"):
             for name in child_names(spark, f"{staging}/{feed}/{part}"):
                 period = re.search("[0-9]{4}-[0-9]{2}", name)
-                if period and (before is None or period[0] < before):
-                    source = f"{staging}/{feed}/{part}/{name}"
-                    target = f"{layers.landing(feed)}/{name.removeprefix('entry=')}"
-                    move(spark, source, target)
+                if period is None or (before is not None and period[0] >= before):
+                    continue
+                source = f"{staging}/{feed}/{part}/{name}"
+                files = [file for file in child_names(spark, source) if file.endswith(".parquet")]
+                if not files:  # moved before
+                    continue
+                if len(files) == 1:
+                    source = f"{source}/{files[0]}"
+                move(spark, source, f"{layers.landing(feed)}/{name.removeprefix('entry=')}")
 
 
 def scratch_root(spark: SparkSession) -> str:
