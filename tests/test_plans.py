@@ -7,7 +7,7 @@ import pytest
 from conftest import X, Y, land
 from pyspark.sql import functions as F
 
-from tierline import build
+from tierline import Layers, build
 from tierline.operators.conform import to_gold, to_silver
 from tierline.plans import exploration, questions, verify
 from tierline.sources.landing import landing_counts, read_new_files
@@ -26,8 +26,6 @@ def line(text: str, label: str) -> list[str]:
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
-    from tierline import Layers
-
     layers = Layers(spark, str(tmp_path_factory.mktemp("plans")))
     for month in (1, 2):
         for feed in (X, Y):
@@ -83,6 +81,30 @@ def test_counts_read_no_column(built):
         assert set(line(plan(counts), "ReadSchema")) == {"struct<>"}
 
 
+def test_landed_rows_are_counted_before_paths_become_names(built):
+    text = plan(landing_counts(built.spark, {"x": built.landing("x"), "y": built.landing("y")}))
+    scan_side = text[text.index("Scan parquet") : text.index("partial_count")]
+    assert "substring" not in scan_side and "Filter" not in scan_side
+
+
+def test_hot_month_is_written_by_many_tasks(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    rows = spark.range(4000).selectExpr(
+        "id as entity_code", "1D as party_size", "1D as total_amount",
+        "timestamp_ntz'2020-01-01 12:00:00' as x_start", "timestamp_ntz'2020-01-01 12:00:00' as x_end",
+    )
+    rows.repartition(8).write.parquet(f"{layers.landing('x')}/x_2020-01.parquet")
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        gold = build(layers, [X])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+    files = gold.select("year", "month", F.col("_metadata.file_path").alias("path")).distinct()
+    assert gold.count() == 4000 and files.select("year", "month").distinct().count() == 1
+    assert files.count() >= 8
+
+
 def test_counts_are_combined_before_the_shuffle(built):
     text = plan(exploration.entity_distribution(built.gold.read()))
     assert "partial_count" in text and text.index("partial_count") < text.index("hashpartitioning")
