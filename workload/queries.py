@@ -6,6 +6,7 @@ returns: counts bigint, calendar parts int, money and ratios double, times witho
 
 from collections.abc import Callable, Iterable
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from workload.feeds import FEEDS, built_layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+MAKING = Lock()  # a second environment is made by one query at a time
 
 # the analysis window and hour month, and the feed the one-feed questions ask about
 YEAR, FIRST, LAST, HOUR_MONTH, FEED = 1998, 1, 5, 5, "a"
@@ -124,10 +126,11 @@ def src5_read_inserts_since(layers: Layers) -> DataFrame:
 
 def second_environment(layers: Layers) -> Layers:
     """Another root that ingested the same landing files of feed a in a single run."""
-    other = Layers(layers.spark, layers.root.replace("/prod", "/dev"))
-    if not other.bronze("a").exists():
-        names = landed_names(layers, "a")
-        other.bronze("a").append(landing.read_new_files(layers.spark, layers.landing("a"), names), "ingest a")
+    other = Layers(layers.spark, f"{layers.root}-dev")
+    with MAKING:
+        if not other.bronze("a").exists():
+            rows = landing.read_new_files(layers.spark, layers.landing("a"), landed_names(layers, "a"))
+            other.bronze("a").append(rows, "ingest a")
     return other
 
 
@@ -609,11 +612,12 @@ def sc13_month_index(layers: Layers) -> DataFrame:
 
 def streamed(layers: Layers) -> Layers:
     """Silver and gold of a second environment, made by streams over the first one's bronze."""
-    target = Layers(layers.spark, layers.root.replace("/prod", "/streamed"))
-    if not target.gold.exists():
-        root = target.root
-        stream_conform(layers, FEEDS, target.silver, f"{root}/checkpoint/silver").awaitTermination()
-        stream_publish(target.silver, target.gold, f"{root}/checkpoint/gold").awaitTermination()
+    target = Layers(layers.spark, f"{layers.root}-streamed")
+    checkpoint = f"{target.root}/checkpoint"
+    with MAKING:
+        if not target.gold.exists():
+            stream_conform(layers, FEEDS, target.silver, f"{checkpoint}/silver").awaitTermination()
+            stream_publish(target.silver, target.gold, f"{checkpoint}/gold").awaitTermination()
     return target
 
 
