@@ -2,12 +2,15 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm.exact_dedup import exact_groups
 from tierline.llm.mixing import mixed_sizes
+from tierline.llm.packing import pack
 from tierline.llm.preference import TRAINED_ROLE, format_preferences
+from tierline.llm.token_counts import LIMIT, token_counts
 from tierline.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,7 +72,17 @@ def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_preferences(chosen, rejected)
 
 
+def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack(table(spark, sf_dir, "documents"), tokenizer)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > LIMIT)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs)
+    for query in (op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op10_token_counts)
 }
