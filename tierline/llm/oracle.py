@@ -2,6 +2,15 @@
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# exact search
+OP1 = """
+with v as (select vec_id, cast(embedding as double[]) as e from embeddings),
+scored as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
+ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
 OP3 = f"""
 with t as (select doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') as norm from documents)
 select doc_id, max(doc_id) over g as keep_id, cast(count(*) over g as bigint) as group_size,
@@ -44,6 +53,7 @@ from done
 """
 
 ORACLE: dict[str, str] = {
+    "op1_vantage_points": OP1,
     "op3_exact_dedup": OP3,
     "op4_url_filter": OP4,
     "op5_preference_pairs": OP5,

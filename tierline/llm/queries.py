@@ -12,6 +12,7 @@ from tierline.llm.packing import pack
 from tierline.llm.preference import TRAINED_ROLE, format_preferences
 from tierline.llm.token_counts import LIMIT, token_counts
 from tierline.llm.url_filter import judge_urls
+from tierline.llm.vantage import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,10 +25,18 @@ URL_RULES = [
 ]
 
 
+NEIGHBOURS = 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), NEIGHBOURS)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixed_sizes(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -84,5 +93,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op10_token_counts)
+    for query in (op1_vantage_points, op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op10_token_counts)
 }
