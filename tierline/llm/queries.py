@@ -10,6 +10,7 @@ from tierline.llm.exact_dedup import exact_groups
 from tierline.llm.mixing import mixed_sizes
 from tierline.llm.packing import pack
 from tierline.llm.preference import TRAINED_ROLE, format_preferences
+from tierline.llm.toxicity import THRESHOLD, fit, is_held_out, toxicity_scores
 from tierline.llm.token_counts import LIMIT, token_counts
 from tierline.llm.url_filter import judge_urls
 from tierline.llm.vantage import nearest
@@ -86,6 +87,17 @@ def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc.doc_id",
+        is_held_out(F.col("doc.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counted.withColumn("over_limit", F.col("n_tokens") > LIMIT)
@@ -93,5 +105,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_vantage_points, op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op10_token_counts)
+    for query in (op1_vantage_points, op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op9_toxicity, op10_token_counts)
 }
