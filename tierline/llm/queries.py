@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.llm.chosen_path import near_classes
 from tierline.llm.exact_dedup import exact_groups
 from tierline.llm.mixing import mixed_sizes
 from tierline.llm.packing import pack
@@ -87,6 +88,10 @@ def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
@@ -105,5 +110,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_vantage_points, op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op9_toxicity, op10_token_counts)
+    for query in (op1_vantage_points, op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op7_chosen_path, op9_toxicity, op10_token_counts)
 }
