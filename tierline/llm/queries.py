@@ -11,6 +11,7 @@ from tierline.llm.exact_dedup import exact_groups
 from tierline.llm.mixing import mixed_sizes
 from tierline.llm.packing import pack
 from tierline.llm.preference import TRAINED_ROLE, format_preferences
+from tierline.llm.suffix_dedup import without_repeats
 from tierline.llm.toxicity import THRESHOLD, fit, is_held_out, toxicity_scores
 from tierline.llm.token_counts import LIMIT, token_counts
 from tierline.llm.url_filter import judge_urls
@@ -92,6 +93,11 @@ def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = without_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
@@ -110,5 +116,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_vantage_points, op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op7_chosen_path, op9_toxicity, op10_token_counts)
+    for query in (op1_vantage_points, op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op7_chosen_path, op8_suffix_dedup, op9_toxicity, op10_token_counts)
 }
