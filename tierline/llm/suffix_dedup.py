@@ -40,7 +40,7 @@ LENGTH = 200
 GRAM = 32
 SLICE = 1 << 20  # string starts worked on at a time
 PLACE = np.uint64((1 << 22) - 1)  # bits of a key that hold the place within a slice
-MOST_BLOCKS = 4096
+MOST_BLOCKS = 16_384
 BROADCAST_BUCKETS = 100_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
@@ -272,32 +272,29 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """Spans of repeated strings in keyed texts: row_id, tag, start, strings. Spans may touch and overlap."""
     long = texts.where(F.octet_length("text") >= LENGTH).select("row_id", "tag", "text")
     told = written(bucketed(long.mapInArrow(_blocks, BLOCK)), "blocks")
-    asked = told.where("asks").select("row_id", "tag", "start", "strings", "anchor", "gram")
-    crowded = asked.groupBy("gram").count().where(F.col("count") > MOST_BLOCKS).select("gram")
+    asked = told.where("asks").groupBy("row_id", "tag").agg(
+        F.collect_set(F.struct("start", "strings", "anchor", "gram")).alias("asked")
+    )
+    # texts move once for all buckets; the bytes of the blocks are few
+    found = long.join(asked, ["row_id", "tag"]).dropDuplicates(["row_id", "tag"])
+    blocks = written(found.mapInArrow(_fetched, REFINED), "block-bytes")
+    crowded = blocks.groupBy("gram").count().where(F.col("count") > MOST_BLOCKS).select("gram")
     crowded = written(crowded, "crowded")
-
-    def fetched(requests: DataFrame) -> DataFrame:
-        per_text = requests.groupBy("row_id", "tag").agg(
-            F.collect_set(F.struct("start", "strings", "anchor", "gram")).alias("asked")
-        )
-        found = long.join(per_text, ["row_id", "tag"]).dropDuplicates(["row_id", "tag"])
-        return found.mapInArrow(_fetched, REFINED)
-
     spans = told.where("repeats").select("row_id", "tag", "start", "strings")
-    some_crowded = not crowded.isEmpty()
-    small = broadcast_if_small(crowded, BROADCAST_BUCKETS) if some_crowded else None
-    large = crowded if small is None else small
-    few = asked.join(large, "gram", "left_anti") if some_crowded else asked
-    in_order = fetched(few).repartition("gram").sortWithinPartitions("gram")
-    spans = spans.unionByName(in_order.mapInArrow(_refine, SPAN))
-    if some_crowded:
+    few = blocks
+    if not crowded.isEmpty():
+        small = broadcast_if_small(crowded, BROADCAST_BUCKETS)
+        large = crowded if small is None else small
+        few = blocks.join(large, "gram", "left_anti")
         strings = written(
-            fetched(asked.join(large, "gram", "left_semi")).mapInArrow(_listed, "row_id bigint, tag int, start int, id bigint"),
+            blocks.join(large, "gram", "left_semi").mapInArrow(_listed, "row_id bigint, tag int, start int, id bigint"),
             "crowded-strings",
         )
         again = strings.groupBy("id").count().where(F.col("count") > 1).select("id")
         singles = strings.join(again, "id", "left_semi").select("row_id", "tag", "start", F.lit(1).alias("strings"))
         spans = spans.unionByName(singles)
+    in_order = few.repartition("gram").sortWithinPartitions("gram")
+    spans = spans.unionByName(in_order.mapInArrow(_refine, SPAN))
     return spans
 
 
