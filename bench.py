@@ -57,13 +57,13 @@ def main() -> None:
     layers = Layers(spark, f"{root}/prod")
     land(spark, f"{root}/written", layers)
     feed, name = HELD_BACK
-    if name in child_names(spark, layers.landing(feed)):
-        move(spark, f"{layers.landing(feed)}/{name}", f"{root}/held/{name}")
+    if name not in child_names(spark, layers.landing(feed)):
+        raise SystemExit(f"{sf_dir} has no {name} to hold back")
+    move(spark, f"{layers.landing(feed)}/{name}", f"{root}/held/{name}")
 
     times = {"full_build": timed(lambda: build(layers, FEEDS))}
     times["noop_rerun"] = timed(lambda: build(layers, FEEDS))
-    if name in child_names(spark, f"{root}/held"):
-        move(spark, f"{root}/held/{name}", f"{layers.landing(feed)}/{name}")
+    move(spark, f"{root}/held/{name}", f"{layers.landing(feed)}/{name}")
     times["one_file_increment"] = timed(lambda: build(layers, FEEDS))
     times["stream_both_hops"] = timed(lambda: streamed(layers))
 

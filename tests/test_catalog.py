@@ -15,9 +15,9 @@ def test_tables_are_documented_idempotent_and_show_new_rows(layers):
     question = "select feed, sum(amount) as total from t_gold.activity where year = 2020 group by feed"
     assert [float(row["total"]) for row in spark.sql(question).collect()] == [-1.0]
     described = {row["col_name"]: row["comment"] for row in spark.sql("describe t_gold.activity").collect()}
-    assert described["amount"].startswith("Total charged") and described["feed"]
+    assert described["amount"].startswith("Money of the row") and described["feed"]
     raw = {row["col_name"]: row["comment"] for row in spark.sql("describe t_bronze.x").collect()}
-    assert raw["source_file"].startswith("Name of the landed file")
+    assert raw["source_file"].startswith("Landed entry")
 
     import pyarrow as pa
 

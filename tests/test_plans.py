@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from conftest import X, Y, land
@@ -69,22 +70,30 @@ def test_ingest_reads_each_schema_in_one_scan_without_a_shuffle(built):
     assert "Exchange" not in text
 
 
-def test_counts_read_no_column(built):
+def test_table_counts_come_from_footers(built):
     for counts in (
-        landing_counts(built.spark, {"x": built.landing("x")}),
         verify.file_counts(built, [X]),
         verify.bronze_totals(built, [X]),
         verify.feed_totals(built.silver),
-        exploration.month_coverage(built.gold.read()),
+        verify.feed_totals(built.gold),
         exploration.files_and_rows(built, [X]),
+    ):
+        assert set(line(plan(counts), "PushedAggregation")) == {"[COUNT(*)]"}
+
+
+def test_other_counts_read_no_column(built):
+    for counts in (
+        landing_counts(built.spark, {"x": built.landing("x")}),
+        exploration.month_coverage(built.gold.read()),
     ):
         assert set(line(plan(counts), "ReadSchema")) == {"struct<>"}
 
 
-def test_landed_rows_are_counted_before_paths_become_names(built):
+def test_landed_rows_are_counted_by_number_and_named_per_file(built):
     text = plan(landing_counts(built.spark, {"x": built.landing("x"), "y": built.landing("y")}))
-    scan_side = text[text.index("Scan parquet") : text.index("partial_count")]
-    assert "substring" not in scan_side and "Filter" not in scan_side
+    assert "Scan parquet" in text and "Scan binaryFile" in text
+    keys = [part for part in line(text, "Keys [2]") if " file#" in part]
+    assert keys and all(re.search(r" file#\d+L", part) for part in keys)  # a bigint, not a path
 
 
 def test_hot_month_is_written_by_many_tasks(spark, tmp_path):

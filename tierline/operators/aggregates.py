@@ -1,7 +1,7 @@
 """Grouped summaries with any grouping keys.
 
 Groups are few (feeds, months, hours, buckets) and rows many, so partial aggregation does the work
-before the shuffle, however skewed the keys are. Counts by partition columns read footers only.
+before the shuffle, however skewed the keys are.
 """
 
 from pyspark.sql import DataFrame

@@ -19,6 +19,11 @@ from tierline.sources.versioned import VERSION_FIELD, VersionedTable
 TABLE = "activity"
 
 
+def quoted(text: str) -> str:
+    """A text as an SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_tables(layers: Layers, feeds: Iterable[FeedSpec], prefix: str = "") -> list[str]:
     """Create the schemas and tables that do not exist yet, and (re)apply all comments.
 
@@ -29,7 +34,7 @@ def create_tables(layers: Layers, feeds: Iterable[FeedSpec], prefix: str = "") -
     spark = layers.spark
     for layer, comment in LAYER_COMMENTS.items():
         spark.sql(f"create schema if not exists `{prefix}{layer}`")
-        spark.sql(f"comment on schema `{prefix}{layer}` is '{comment}'")
+        spark.sql(f"comment on schema `{prefix}{layer}` is {quoted(comment)}")
     contracts = {
         f"`{prefix}silver`.`{TABLE}`": (layers.silver, SILVER_COMMENT),
         f"`{prefix}gold`.`{TABLE}`": (layers.gold, GOLD_COMMENT),
@@ -55,11 +60,11 @@ def _create(spark: SparkSession, name: str, table: VersionedTable, comment: str)
     )
     spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
-    spark.sql(f"comment on table {name} is '{comment}'")
+    spark.sql(f"comment on table {name} is {quoted(comment)}")
     for field in columns:
         text = field.metadata.get("comment")
         if text and field.name not in keys:  # a partition column keeps its comment from creation
-            spark.sql(f"alter table {name} alter column `{field.name}` comment '{text}'")
+            spark.sql(f"alter table {name} alter column `{field.name}` comment {quoted(text)}")
 
 
 def _documented(field: T.StructField) -> T.StructField:

@@ -4,17 +4,18 @@ Every hop is a map-only Spark job over what its source gained since the last run
 them again with nothing new commits nothing.
 """
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
 from tierline.operators.conform import conform_to_table, to_gold, to_silver
 from tierline.operators.reconcile import new_files
+from tierline.plans.catalog import create_tables
 from tierline.plans.layers import Layers
 from tierline.plans.verify import verify_bronze, verify_gold, verify_silver
 from tierline.schema import FeedSpec
-from tierline.sources.landing import landed_files, name_frame, read_new_files
+from tierline.sources.landing import landed_names, name_frame, read_new_files
 from tierline.sources.versioned import Commit, VersionedTable
 
 
@@ -26,10 +27,15 @@ def ingested_files(bronze: VersionedTable) -> DataFrame:
     return name_frame(bronze.spark, bronze.leading_partition_values())
 
 
-def ingest(layers: Layers, feed: FeedSpec) -> Commit | None:
-    """Append every landed file not yet in the feed's bronze table, as one commit."""
+def ingest(layers: Layers, feed: FeedSpec, listed: list[str] | None = None) -> Commit | None:
+    """Append every landed file not yet in the feed's bronze table, as one commit.
+
+    `listed` are the landed names, if they were listed before.
+    """
     landing, bronze = layers.landing(feed.name), layers.bronze(feed.name)
-    new = new_files(landed_files(layers.spark, landing), ingested_files(bronze))
+    if listed is None:
+        listed = landed_names(layers.spark, landing)
+    new = new_files(name_frame(layers.spark, listed), ingested_files(bronze))
     names = [row["source_file"] for row in new.collect()]
     if not names:
         return None
@@ -37,12 +43,14 @@ def ingest(layers: Layers, feed: FeedSpec) -> Commit | None:
     return bronze.append(conform_to_table(batch, bronze.schema()), f"ingest {feed.name}")
 
 
-def ingest_all(layers: Layers, feeds: Iterable[FeedSpec]) -> list[Commit]:
+def ingest_all(
+    layers: Layers, feeds: Iterable[FeedSpec], listed: Mapping[str, list[str]] | None = None
+) -> list[Commit]:
     """Ingest every feed. Their tables are independent, so one feed's jobs fill the slots that
     another's listing, schema reading and last tasks leave idle."""
     feeds = list(feeds)
     with ThreadPoolExecutor(max(1, len(feeds))) as pool:
-        commits = pool.map(lambda feed: ingest(layers, feed), feeds)
+        commits = pool.map(lambda feed: ingest(layers, feed, (listed or {}).get(feed.name)), feeds)
         return [commit for commit in commits if commit is not None]
 
 
@@ -74,16 +82,28 @@ def publish(layers: Layers) -> Commit | None:
     return gold.append(to_gold(changes), "publish")
 
 
-def build(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
+def build(
+    layers: Layers,
+    feeds: Iterable[FeedSpec],
+    report: list[Commit] | None = None,
+    document: str | None = None,
+) -> DataFrame:
     """Run every hop, each followed by its check, which stops the run on a mismatch.
 
-    Returns the gold rows.
+    Landing directories are listed once, so files that land meanwhile wait for the next run. `report`
+    is filled with the run's commits. With `document`, a prefix, the catalog's tables and comments are
+    brought up to date at the end. Returns the gold rows.
     """
     feeds = list(feeds)
-    ingest_all(layers, feeds)
-    verify_bronze(layers, feeds)
-    conform(layers, feeds)
+    report = [] if report is None else report
+    listed = {feed.name: landed_names(layers.spark, layers.landing(feed.name)) for feed in feeds}
+    report += ingest_all(layers, feeds, listed)
+    verify_bronze(layers, feeds, listed)
+    report += conform(layers, feeds)
     verify_silver(layers, feeds)
-    publish(layers)
+    published = publish(layers)
+    report += [] if published is None else [published]
     verify_gold(layers)
+    if document is not None:
+        create_tables(layers, feeds, document)
     return layers.gold.read()

@@ -1,19 +1,20 @@
 """Row-count reconciliation after every hop.
 
 The `*_mismatches` functions return the disagreeing keys as a frame; the `verify_*` gates raise on
-any. All counts are by partition columns, so they read Parquet footers, not data.
+any. Counts of the tables are by all their partition columns, in a session where Spark takes them from
+Parquet footers. Landed files have no partition columns; their rows are counted one by one, but unread.
 """
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators.aggregates import count_rows
 from tierline.operators.reconcile import reconcile_both, reconcile_fixed, reconcile_left
 from tierline.plans.layers import Layers
 from tierline.schema import FeedSpec
+from tierline.session import counting_session
 from tierline.sources.landing import landing_counts, stack_feeds
 from tierline.sources.versioned import VersionedTable
 
@@ -22,20 +23,22 @@ class ReconciliationError(ValueError):
     """Two layers disagree on how many rows a key has."""
 
 
+def table_counts(table: VersionedTable) -> DataFrame:
+    """Rows per combination of partition columns, from footers."""
+    return table.counts(counting_session(table.spark))
+
+
 def file_counts(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
     """Rows per source file in the feeds' bronze tables."""
-    rows = {feed.name: layers.bronze(feed.name).read().select("source_file") for feed in feeds}
-    return count_rows(stack_feeds(rows), "feed", "source_file", alias="bronze_rows")
+    counts = {feed.name: table_counts(layers.bronze(feed.name)).select("source_file", "rows") for feed in feeds}
+    return stack_feeds(counts).groupBy("feed", "source_file").agg(F.sum("rows").alias("bronze_rows"))
 
 
 def bronze_totals(layers: Layers, feeds: Iterable[FeedSpec], alias: str = "rows") -> DataFrame:
     """Rows per feed over the bronze tables; 0 for a feed that never landed."""
-    ones = {
-        feed.name: layers.bronze(feed.name).read().select(F.lit(1).cast("bigint").alias("n"))
-        for feed in feeds
-    }
-    floor = feed_frame(layers.spark, ones).withColumn("n", F.lit(0).cast("bigint"))
-    return stack_feeds(ones).union(floor).groupBy("feed").agg(F.sum("n").alias(alias))
+    counts = {feed.name: table_counts(layers.bronze(feed.name)).select(F.col("rows").alias("n")) for feed in feeds}
+    floor = feed_frame(layers.spark, counts).withColumn("n", F.lit(0).cast("bigint"))
+    return stack_feeds(counts).union(floor).groupBy("feed").agg(F.sum("n").alias(alias))
 
 
 def feed_frame(spark: SparkSession, names: Iterable[str]) -> DataFrame:
@@ -45,13 +48,19 @@ def feed_frame(spark: SparkSession, names: Iterable[str]) -> DataFrame:
 
 def feed_totals(table: VersionedTable, alias: str = "rows") -> DataFrame:
     """Rows per feed in silver or gold."""
-    return count_rows(table.read(), "feed", alias=alias)
+    return table_counts(table).groupBy("feed").agg(F.sum("rows").alias(alias))
+
 
+def bronze_mismatches(
+    layers: Layers, feeds: Iterable[FeedSpec], listed: Mapping[str, list[str]] | None = None
+) -> DataFrame:
+    """Landed files whose rows are not all in bronze. Bronze-only files are not looked at.
 
-def bronze_mismatches(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
-    """Landed files whose rows are not all in bronze. Bronze-only files are not looked at."""
+    `listed` has the entries to check by feed, if they were listed before.
+    """
     feeds = list(feeds)
-    landing = landing_counts(layers.spark, {feed.name: layers.landing(feed.name) for feed in feeds})
+    places = {feed.name: layers.landing(feed.name) for feed in feeds}
+    landing = landing_counts(layers.spark, places, listed)
     bronze = file_counts(layers, feeds)
     return reconcile_left(landing, bronze, ["feed", "source_file"], ("landing_rows", "bronze_rows"))
 
@@ -72,8 +81,10 @@ def gold_mismatches(layers: Layers) -> DataFrame:
     return reconcile_both(silver, gold, ["feed"], ("silver_rows", "gold_rows"))
 
 
-def verify_bronze(layers: Layers, feeds: Iterable[FeedSpec]) -> None:
-    _require_none(bronze_mismatches(layers, feeds), "landed files and bronze")
+def verify_bronze(
+    layers: Layers, feeds: Iterable[FeedSpec], listed: Mapping[str, list[str]] | None = None
+) -> None:
+    _require_none(bronze_mismatches(layers, feeds, listed), "landed files and bronze")
 
 
 def verify_silver(layers: Layers, feeds: Iterable[FeedSpec]) -> None:

@@ -22,52 +22,53 @@ def _field(name: str, data_type: T.DataType, comment: str) -> T.StructField:
 
 
 _CANONICAL = [
-    _field("entity_id", T.IntegerType(), "Provider that recorded the row"),
-    _field("party_size", T.IntegerType(), "People in the party; missing values are expected"),
-    _field("amount", T.DecimalType(10, 2), "Total charged; negative for refunds and voids"),
-    _field("start_ts", T.TimestampType(), "Start time, one name for every feed"),
-    _field("end_ts", T.TimestampType(), "End time, one name for every feed"),
-    _field("feed", T.StringType(), "Feed the row belongs to"),
+    _field("entity_id", T.IntegerType(), "Number of the company or device that sent the row, as an integer"),
+    _field("party_size", T.IntegerType(), "Size of the party. Not every feed fills it, so NULL is normal"),
+    _field("amount", T.DecimalType(10, 2), "Money of the row in hundredths. Corrections have a minus sign"),
+    _field("start_ts", T.TimestampType(), "When the activity began (UTC); the column a feed calls it by is in its FeedSpec"),
+    _field("end_ts", T.TimestampType(), "When the activity ended (UTC); may lie before start_ts in faulty rows"),
+    _field("feed", T.StringType(), "Name of the FeedSpec the row was conformed with"),
 ]
 _PERIOD = [
-    _field("year", T.IntegerType(), "Year named by the source file; period key"),
-    _field("month", T.IntegerType(), "Month named by the source file; period key"),
+    _field("year", T.IntegerType(), "Year in the landed file's name, whatever the row's times say"),
+    _field("month", T.IntegerType(), "Month (1-12) in the landed file's name, whatever the row's times say"),
 ]
 
 SILVER = T.StructType(
     [
         *_CANONICAL,
-        _field("is_amount_valid", T.BooleanType(), "Raw amount is present and not negative"),
+        _field("is_amount_valid", T.BooleanType(), "True where the amount, before its cast, was a number of at least zero"),
         *_PERIOD,
-        _field("_source_version", T.LongType(), "Bronze version the row came from"),
+        _field("_source_version", T.LongType(), "Commit of the feed's bronze table that brought the row"),
     ]
 )
 GOLD = T.StructType(
     [
         *_CANONICAL,
         *_PERIOD,
-        _field("start_hour", T.IntegerType(), "Hour of day of start_ts, 0 to 23"),
-        _field("_source_version", T.LongType(), "Silver version the row came from"),
+        _field("start_hour", T.IntegerType(), "Clock hour of start_ts, UTC"),
+        _field("_source_version", T.LongType(), "Commit of silver that brought the row"),
     ]
 )
 
 LAYER_COMMENTS = {
-    "bronze": "Raw rows of each feed as landed, plus the name of the file they came from.",
-    "silver": "All feeds in one table of canonical, typed columns.",
-    "gold": "The table that answers questions.",
+    "bronze": "A table per feed with its files' columns, lowercased, and source_file.",
+    "silver": "One table for all feeds; every bronze row has one row here.",
+    "gold": "What reports read: silver's rows with the start hour, partitioned by period.",
 }
-SILVER_COMMENT = "All feeds conformed to one set of typed columns. Bad rows are flagged, none dropped."
-GOLD_COMMENT = "Join-free table for analysis: conformed columns plus the start hour, no filter."
-SOURCE_FILE_COMMENT = "Name of the landed file, key of lineage and of incremental ingestion"
+SILVER_COMMENT = "Rows of all feeds under the same names and types. Doubtful amounts carry a flag; no row is left out."
+GOLD_COMMENT = "Rows of silver without the flag and with the start hour, in directories by feed, year and month."
+SOURCE_FILE_COMMENT = "Landed entry the row was read from; a name that is here is not read again"
 
 
 def bronze_comment(feed: str) -> str:
-    return f"Raw rows of feed {feed}: lowercased column names plus source_file."
+    return f"What landed for feed {feed}, a partition per landed entry."
 
 
 # Directory keys. They are (nearly) constant within an input split, so a hop never shuffles to write.
-# Silver keeps year and month inside its files: a file comes from few landed files, so its row-group
-# statistics already narrow a period, and only gold is read by period often enough for directories.
+# Silver keeps year and month inside its files. A task may pack several monthly files, so it sorts its
+# rows by period; row groups then cover few months and a period read skips the others.
 BRONZE_PARTITIONS = ("source_file",)
 SILVER_PARTITIONS = ("feed",)
+SILVER_ORDER = ("year", "month")
 GOLD_PARTITIONS = ("feed", "year", "month")

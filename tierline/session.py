@@ -5,6 +5,8 @@ from pyspark.sql import SparkSession
 REQUIRED = {
     # times are stored as UTC instants, so the zone is part of the table contract
     "spark.sql.session.timeZone": "UTC",
+    # file schemas are grouped and read without regard to the case of column names
+    "spark.sql.caseSensitive": "false",
     # casts must fail loudly on overflow
     "spark.sql.ansi.enabled": "true",
     # a task's input spans few periods: keep their writers open instead of sorting its rows
@@ -28,7 +30,19 @@ def require_settings(spark: SparkSession) -> SparkSession:
     """Apply the settings in REQUIRED to a session made elsewhere."""
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
-    # by default every directory is listed by a task of its own
-    cores = str(spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", cores)
     return spark
+
+
+# Parquet as a source whose counts Spark answers from file footers, one row per file
+COUNTING = {
+    "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
+def counting_session(spark: SparkSession) -> SparkSession:
+    """A session beside `spark` for counts by partition columns; `spark` keeps its own settings."""
+    beside = spark.newSession()
+    for key, value in (REQUIRED | COUNTING).items():
+        beside.conf.set(key, value)
+    return beside

@@ -1,7 +1,8 @@
 """The few directory operations Spark's readers and writers do not cover.
 
 They go through Hadoop's file system classes, so any store Spark can reach works. All of them
-touch directory entries only, never file contents.
+touch directory entries only, never file contents. They need a classic session: a Spark Connect client
+has no access to those classes.
 """
 
 from py4j.java_gateway import JavaObject
@@ -10,6 +11,8 @@ from pyspark.sql import SparkSession
 
 def _resolve(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     """The file system that holds `path`, and the path on it."""
+    if getattr(spark, "_jvm", None) is None:
+        raise RuntimeError("directories are listed and renamed through the driver's JVM: use a classic session")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     file_system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return file_system, file_system.makeQualified(target)
@@ -20,7 +23,20 @@ def child_names(spark: SparkSession, directory: str) -> list[str]:
     file_system, path = _resolve(spark, directory)
     if not file_system.exists(path):
         return []
-    return sorted(status.getPath().getName() for status in file_system.listStatus(path))
+    # put together in the JVM, so that a listing is one call however many entries it has: {a/x,a/y,...},
+    # where only the directory itself can follow a comma with slashes in it
+    hadoop, lang = spark._jvm.org.apache.hadoop.fs, spark._jvm.org.apache.commons.lang3
+    text = lang.ArrayUtils.toString(hadoop.FileUtil.stat2Paths(file_system.listStatus(path)))[1:-1]
+    start = path.toString().rstrip("/") + "/"
+    names = sorted(text.removeprefix(start).split("," + start)) if text else []
+    if any("/" in name for name in names):
+        raise RuntimeError(f"entries of {directory} are not listed below {start}: {names[:3]}")
+    return names
+
+
+def scheme(spark: SparkSession, path: str) -> str:
+    """The scheme of the file system that holds `path`."""
+    return str(_resolve(spark, path)[0].getUri().getScheme())
 
 
 def reported_paths(spark: SparkSession, directory: str) -> list[str]:

@@ -5,12 +5,12 @@ Parquet file or a directory of part files (how Spark itself writes a big one). I
 `source_file` of every row in it.
 """
 
-from collections import defaultdict
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tierline.sources.files import child_names, reported_paths
 
 MAX_LENGTH = 2**31 - 1  # "to the end" for substring
-SCHEMA_READERS = 16  # footers read at once; each is a one-task Spark job
+UNMERGEABLE = "CANNOT_MERGE_SCHEMAS"  # condition of the error for types that have no common one
 
 
 def name_frame(spark: SparkSession, names: list[str]) -> DataFrame:
@@ -26,10 +26,14 @@ def name_frame(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame(pa.table({"source_file": pa.array(names, pa.string())}))
 
 
+def landed_names(spark: SparkSession, landing_dir: str) -> list[str]:
+    """Names of the Parquet entries in a landing directory, sorted; none if it does not exist."""
+    return [name for name in child_names(spark, landing_dir) if name.endswith(".parquet")]
+
+
 def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """Names of the Parquet entries in a landing directory; none if it does not exist."""
-    names = child_names(spark, landing_dir)
-    return name_frame(spark, [name for name in names if name.endswith(".parquet")])
+    """The same as a frame."""
+    return name_frame(spark, landed_names(spark, landing_dir))
 
 
 def entry_name(
@@ -55,65 +59,107 @@ def entry_name(
     return F.when(name.contains("%"), decoded).otherwise(name)
 
 
-def read_clean(spark: SparkSession, landing_dir: str, names: list[str]) -> DataFrame:
-    """Read same-schema entries in one scan, lowercase the columns and add `source_file`."""
-    raw = spark.read.parquet(*[f"{landing_dir}/{name}" for name in names])
+def read_clean(
+    spark: SparkSession, landing_dir: str, names: list[str], schema: T.StructType | None = None
+) -> DataFrame:
+    """Read entries in one scan, lowercase the columns and add `source_file`.
+
+    With a schema, files may lack columns of it, which are NULL; without one, all must have the same.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    raw = reader.parquet(*[f"{landing_dir}/{name}" for name in names])
     path, file_name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
     tagged = raw.withColumn("source_file", entry_name(spark, path, landing_dir, file_name))
     return tagged.toDF(*[name.lower() for name in tagged.columns])
 
 
-def read_new_files(spark: SparkSession, landing_dir: str, names: list[str]) -> DataFrame:
-    """Union the named entries by column name; absent columns become NULL, types are widened.
+def merged_schemas(
+    spark: SparkSession, landing_dir: str, names: list[str]
+) -> list[tuple[list[str], T.StructType]]:
+    """The entries in groups whose files' schemas merge, each with its merged schema.
 
-    Entries are grouped by schema (ignoring name case) first, so the plan has one scan per
-    distinct schema, not one per file.
+    Spark reads the footers of a group, every part of its directories included, in one job. A group with
+    types that do not merge (integers of different width, say) is halved and tried again, so the jobs
+    follow the number of such changes among the sorted names, not the number of files.
     """
+    reader = spark.read.option("mergeSchema", True)
+    try:
+        return [(names, reader.parquet(*[f"{landing_dir}/{name}" for name in names]).schema)]
+    except (PySparkException, Py4JJavaError) as error:  # raised inside a task, it comes unconverted
+        if UNMERGEABLE not in str(error):
+            raise
+        if len(names) == 1:
+            files = [file for file in child_names(spark, f"{landing_dir}/{names[0]}") if file[0] not in "_."]
+            if len(files) < 2:
+                raise
+            names = [f"{names[0]}/{file}" for file in files]  # a directory whose parts differ
+    half = len(names) // 2
+    return merged_schemas(spark, landing_dir, names[:half]) + merged_schemas(spark, landing_dir, names[half:])
+
 
-    def schema_of(name: str) -> frozenset[tuple[str, str]]:
-        fields = spark.read.parquet(f"{landing_dir}/{name}").schema.fields
-        return frozenset((field.name.lower(), field.dataType.json()) for field in fields)
+def read_new_files(spark: SparkSession, landing_dir: str, names: list[str]) -> DataFrame:
+    """Union the named entries by column name; absent columns become NULL, types are widened.
 
-    groups: dict[frozenset[tuple[str, str]], list[str]] = defaultdict(list)
-    ordered = sorted(names)
-    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
-        for name, schema in zip(ordered, pool.map(schema_of, ordered), strict=True):
-            groups[schema].append(name)
-    scans = [read_clean(spark, landing_dir, group) for group in groups.values()]
+    Entries whose schemas merge are one scan, and groups that turn out to have equal schemas are put
+    together again, so the plan has a scan per distinct set of types, not one per file.
+    """
+    groups: dict[frozenset[tuple[str, str]], tuple[list[str], T.StructType]] = {}
+    for part, schema in merged_schemas(spark, landing_dir, sorted(names)):
+        key = frozenset((field.name.lower(), field.dataType.json()) for field in schema)
+        groups.setdefault(key, ([], schema))[0].extend(part)
+    scans = [read_clean(spark, landing_dir, part, schema) for part, schema in groups.values()]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)
 
 
-def landing_counts(spark: SparkSession, landing_dirs: Mapping[str, str]) -> DataFrame:
+def landing_counts(
+    spark: SparkSession,
+    landing_dirs: Mapping[str, str],
+    listed: Mapping[str, list[str]] | None = None,
+) -> DataFrame:
     """Rows of every landed entry of the feeds (feed -> directory), 0 for an empty entry.
 
-    The scans ask for no column, so only Parquet footers are read. Rows are counted per file path
-    first; names are made of the few paths, not of every row's.
+    `listed` are the entries to count (feed -> names), by default those there are now. Only they count:
+    other folders below a landing directory are not entries. The scans ask for no column. Rows are counted
+    by a number that stands for their file's path; names are made from a listing with a row per file.
     """
-    names = stack_feeds({feed: landed_files(spark, path) for feed, path in landing_dirs.items()})
-    paths = {feed: _row_paths(spark, path) for feed, path in landing_dirs.items()}
-    per_path = stack_feeds(paths).groupBy("feed", "path").agg(F.count(F.lit(1)).alias("n"))
-    name = F.lit(None)
-    for feed, path in landing_dirs.items():
-        name = F.when(F.col("feed") == feed, entry_name(spark, F.col("path"), path)).otherwise(name)
-    # listed names take part with 0 rows; a join to them would push its key's NULL test, and with
-    # it the naming, below the count
-    counted = per_path.select("feed", name.alias("source_file"), "n")
-    listed = names.withColumn("n", F.lit(0).cast("bigint"))
-    rows = listed.union(counted).groupBy("feed", "source_file")
-    return rows.agg(F.sum("n").alias("landing_rows"))
-
-
-def _row_paths(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """The file path of every landed row."""
-    if not child_names(spark, landing_dir):
-        return spark.createDataFrame(pa.table({"path": pa.array([], pa.string())}))
+    if listed is None:
+        listed = {feed: landed_names(spark, path) for feed, path in landing_dirs.items()}
+    names = stack_feeds({feed: name_frame(spark, listed[feed]) for feed in landing_dirs})
+    paths = {feed: _row_files(spark, path, bool(listed[feed])) for feed, path in landing_dirs.items()}
+    per_file = stack_feeds(paths).groupBy("feed", "file").agg(F.count(F.lit(1)).alias("n"))
+    files = stack_feeds(
+        {feed: _files(spark, path, bool(listed[feed])) for feed, path in landing_dirs.items()}
+    )
+    counted = per_file.join(files, ["feed", "file"]).select("feed", "source_file", "n")
+    rows = names.join(counted, ["feed", "source_file"], "left").groupBy("feed", "source_file")
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("landing_rows"))
+
+
+def _row_files(spark: SparkSession, landing_dir: str, any_entry: bool) -> DataFrame:
+    """The number of the file of every landed row."""
+    if not any_entry:
+        return spark.createDataFrame([], "file bigint")
     scan = (
         spark.read.schema(T.StructType([]))
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .parquet(landing_dir)
     )
-    return scan.select(F.col("_metadata.file_path").alias("path"))
+    return scan.select(F.xxhash64("_metadata.file_path").alias("file"))
+
+
+def _files(spark: SparkSession, landing_dir: str, any_entry: bool) -> DataFrame:
+    """Every file below a landing directory: its number and the entry it belongs to."""
+    if not any_entry:
+        return spark.createDataFrame([], "file bigint, source_file string")
+    found = (
+        spark.read.format("binaryFile")  # a row per file; contents are read only if asked for
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(landing_dir)
+    )
+    path = F.col("_metadata.file_path")
+    return found.select(F.xxhash64(path).alias("file"), entry_name(spark, path, landing_dir).alias("source_file"))
 
 
 def stack_feeds(frames: Mapping[str, DataFrame]) -> DataFrame:

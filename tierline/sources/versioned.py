@@ -6,7 +6,8 @@ and made visible by renaming the directory. So a lost executor, a failed job or
 leaves at most an unpublished staging directory that no reader looks at, and a published version
 always comes with its record. One writer per table; a second one fails on the rename.
 
-The rename must be atomic, as it is on HDFS and POSIX file systems.
+The rename must be atomic, as it is on HDFS and POSIX file systems; other stores are refused unless
+`any_store` is set. Staging directories of failed commits stay until `remove_staging` is called.
 """
 
 from dataclasses import dataclass
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.expressions import max_source_version
-from tierline.sources.files import child_names, remove, rename_new
+from tierline.sources.files import child_names, remove, rename_new, scheme
 
 VERSION_COLUMN = "_commit_version"
 VERSION_FIELD = T.StructField(VERSION_COLUMN, T.LongType())
@@ -31,8 +32,11 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("operation", T.StringType()),
         T.StructField("rows", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
+        T.StructField("source_version", T.LongType()),  # highest one; NULL without that column
     ]
 )
+ATOMIC_RENAMES = {"file", "hdfs", "viewfs"}
+SOURCE_VERSION = "_source_version"
 
 
 @dataclass(frozen=True)
@@ -41,6 +45,7 @@ class Commit:
 
     version: int
     rows: int
+    operation: str = ""
 
 
 class VersionedTable:
@@ -52,11 +57,15 @@ class VersionedTable:
         path: str,
         partitions: tuple[str, ...],
         contract: T.StructType | None = None,
+        order: tuple[str, ...] = (),
+        any_store: bool = False,
     ) -> None:
         self.spark = spark
         self.path = path
         self.partitions = partitions
         self.contract = contract
+        self.order = order
+        self.any_store = any_store
 
     def versions(self) -> list[int]:
         """Committed versions, ascending."""
@@ -105,22 +114,28 @@ class VersionedTable:
         wanted = [v for v in self.versions() if v >= start and (ceiling is None or v <= ceiling)]
         return (
             self._scan([self.version_path(v) for v in wanted])
-            .drop("_source_version")
-            .withColumnRenamed(VERSION_COLUMN, "_source_version")
+            .drop(SOURCE_VERSION)
+            .withColumnRenamed(VERSION_COLUMN, SOURCE_VERSION)
         )
 
     def watermark(self, first_partition: str | None = None) -> int:
         """Highest `_source_version` held, -1 when empty; optionally of one leading partition.
 
         Appends only ever add higher source versions, so the newest commit that holds the
-        partition is the only one that has to be read.
+        partition is the only one that matters. Its record tells the version, unless the commit holds
+        other partitions as well or its record is from before records did; then its rows do.
         """
         for version in reversed(self.versions()):
             path = self.version_path(version)
+            alone = True
             if first_partition is not None:
-                name = f"{self.partitions[0]}={first_partition}"
-                if name not in map(unquote, child_names(self.spark, path)):
+                held = [unquote(name) for name in child_names(self.spark, path) if self._is_leading(name)]
+                if f"{self.partitions[0]}={first_partition}" not in held:
                     continue
+                alone = len(held) == 1
+            recorded = self._records([version]).first()["source_version"] if alone else None
+            if recorded is not None:
+                return recorded
             newest = self._scan([path])
             if first_partition is not None:
                 newest = newest.where(F.col(self.partitions[0]) == first_partition)
@@ -144,12 +159,21 @@ class VersionedTable:
         Partition values are expected to be constant within an input file, so rows are written
         where they are read: no shuffle, and a hot partition is spread over all its input splits.
         """
+        if not self.any_store and (store := scheme(self.spark, self.path)) not in ATOMIC_RENAMES:
+            raise ValueError(
+                f"renames on {store}: are not known to be atomic, so readers could see half a commit; "
+                "any_store=True allows it"
+            )
         number = self.last_version() + 1 if version is None else version
         staging = f"{self.path}/_staging/{uuid4().hex}"
         observed = Observation()
+        has_source = SOURCE_VERSION in df.columns
+        source = F.max(SOURCE_VERSION if has_source else F.lit(None).cast("bigint"))
+        rows = df.observe(observed, F.count(F.lit(1)).alias("rows"), source.alias("source_version"))
+        if self.order:  # within write tasks: row groups get narrow ranges, and nothing is shuffled
+            rows = rows.sortWithinPartitions(*self.order)
         (
-            df.observe(observed, F.count(F.lit(1)).alias("rows"))
-            .write.partitionBy(*self.partitions)
+            rows.write.partitionBy(*self.partitions)
             .options(**TASK_COMMIT)
             .parquet(staging)
         )
@@ -162,18 +186,39 @@ class VersionedTable:
             F.lit(operation).alias("operation"),
             F.lit(rows).cast("bigint").alias("rows"),
             F.current_timestamp().alias("committed_at"),
+            F.lit(observed.get["source_version"]).cast("bigint").alias("source_version"),
         )
         record.coalesce(1).write.json(f"{staging}/_commit")
         rename_new(self.spark, staging, self.version_path(number))
-        return Commit(number, rows)
+        return Commit(number, rows, operation)
+
+    def remove_staging(self) -> int:
+        """Delete what failed commits left behind; how many there were. Call it while nothing writes."""
+        staging = f"{self.path}/_staging"
+        left = len(child_names(self.spark, staging))
+        remove(self.spark, staging)
+        return left
 
     def history(self) -> DataFrame:
-        """One row per commit: version, operation, rows, committed_at."""
-        records = [f"{self.version_path(v)}/_commit" for v in self.versions()]
+        """One row per commit: version, operation, rows, committed_at, source_version."""
+        return self._records(self.versions())
+
+    def _records(self, versions: list[int]) -> DataFrame:
+        records = [f"{self.version_path(v)}/_commit" for v in versions]
         if not records:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).json(records)
 
+    def counts(self, beside: SparkSession) -> DataFrame:
+        """Rows per combination of all partition columns and the commit version, as `rows`.
+
+        Read in a counting session, every file's count comes from its footer. Spark does that only if all
+        partition columns are grouping keys.
+        """
+        same = VersionedTable(beside, self.path, self.partitions, self.contract)
+        keys = [VERSION_COLUMN, *self.partitions]
+        return same.read().groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+
     def last_commit(self) -> DataFrame:
         """The newest row of the history, found by sorting as a user of the history would."""
         return self.history().orderBy(F.desc("version")).limit(1)

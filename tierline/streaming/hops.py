@@ -18,6 +18,9 @@ from tierline.schema import FeedSpec
 from tierline.sources.versioned import VERSION_COLUMN, VERSION_FIELD, VersionedTable
 
 
+ANY_AGE = "365000d"  # a thousand years
+
+
 def stream_inserts(table: VersionedTable, max_bytes: str | None = None) -> DataFrame:
     """Streaming counterpart of read_inserts_since: every row once, tagged with its version.
 
@@ -27,6 +30,8 @@ def stream_inserts(table: VersionedTable, max_bytes: str | None = None) -> DataF
     if schema is None:
         raise ValueError(f"nothing committed yet: {table.path}")
     reader = table.spark.readStream.schema(T.StructType([*schema.fields, VERSION_FIELD]))
+    # files are told apart by the checkpoint; by default older ones than a week would be passed over
+    reader = reader.option("maxFileAge", ANY_AGE)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     rows = reader.parquet(table.path)

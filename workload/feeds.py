@@ -1,7 +1,9 @@
 """Landing files of feeds a, b and c, derived by Spark from lineitem, orders and events.
 
 The rules are those of FIXTURES.md section 4; every row of the three tables lands in exactly one
-monthly entry. Parts of a feed whose files have different schemas are written separately.
+monthly entry. Parts of a feed whose files have different schemas are written separately. Feed b always
+lands as directories of part files that differ in schema; of the other feeds, an entry of one file lands
+as that file and an entry of several as a directory.
 """
 
 import re
@@ -22,6 +24,7 @@ FEED_A = FeedSpec("a", "a_start_ts", "a_end_ts")
 FEED_B = FeedSpec("b", "b_start_ts", "b_end_ts")
 FEED_C = FeedSpec("c", "c_start_ts", "c_end_ts")
 FEEDS = (FEED_A, FEED_B, FEED_C)
+AS_DIRECTORIES = {"b"}
 SECOND_RUN_FROM = "2000-01"  # files from this month on land after the first run
 
 
@@ -57,19 +60,21 @@ def feed_a(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def feed_b(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     rows = spark.read.parquet(f"{sf_dir}/orders.parquet")
     start = F.col("o_orderdate") + _hours("o_orderkey % 24")
-    odd_year = F.year("o_orderdate") % 2 == 1
+    odd_key = F.col("o_orderkey") % 2 == 1
 
-    def shaped(part: DataFrame, entity_name: str) -> DataFrame:
+    def shaped(part: DataFrame, entity_name: str, *extra) -> DataFrame:
         return part.select(
             F.col("o_custkey").alias(entity_name),
             F.expr("double(o_custkey % 7)").alias("party_size"),
             F.expr("if(o_orderstatus = 'P', -o_totalprice, o_totalprice)").alias("total_amount"),
             start.alias("b_start_ts"),
             (start + _hours("o_orderkey % 5")).alias("b_end_ts"),
+            *extra,
             _entry("b", "o_orderdate"),
         )
 
-    return [shaped(rows.where(~odd_year), "Entity_Code"), shaped(rows.where(odd_year), "ENTITY_CODE")]
+    status = F.col("o_orderstatus").alias("status")
+    return [shaped(rows.where(~odd_key), "Entity_Code"), shaped(rows.where(odd_key), "ENTITY_CODE", status)]
 
 
 def feed_c(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -121,28 +126,40 @@ def write_entries(spark: SparkSession, sf_dir: str, staging: str) -> None:
 def land(spark: SparkSession, staging: str, layers: Layers, before: str | None = None) -> None:
     """Move written entries (those of months before `before`) into the landing directories.
 
-    An entry of one part becomes a single file, one of several stays a directory.
+    Rows without a date have no month to land in, so they are an error, not skipped.
     """
     for feed in DERIVE:
         for part in child_names(spark, f"{staging}/{feed}"):
             for name in child_names(spark, f"{staging}/{feed}/{part}"):
+                if name[0] in "_.":  # the writer's own
+                    continue
                 period = re.search("[0-9]{4}-[0-9]{2}", name)
-                if period is None or (before is not None and period[0] >= before):
+                if period is None:
+                    raise ValueError(f"rows of feed {feed} have no month to land in: {name}")
+                if before is not None and period[0] >= before:
                     continue
                 source = f"{staging}/{feed}/{part}/{name}"
                 files = [file for file in child_names(spark, source) if file.endswith(".parquet")]
-                if not files:  # moved before
-                    continue
-                if len(files) == 1:
-                    source = f"{source}/{files[0]}"
-                move(spark, source, f"{layers.landing(feed)}/{name.removeprefix('entry=')}")
+                entry = f"{layers.landing(feed)}/{name.removeprefix('entry=')}"
+                if feed in AS_DIRECTORIES:
+                    for file in files:
+                        move(spark, f"{source}/{file}", f"{entry}/{part}-{file}")
+                elif len(files) == 1:
+                    move(spark, f"{source}/{files[0]}", entry)
+                elif files:
+                    move(spark, source, entry)
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """A new directory every executor can reach, deleted when the session's JVM ends."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+def scratch_root(spark: SparkSession, shared: str | None = None) -> str:
+    """A new directory below `shared`, deleted when the session's JVM ends.
+
+    Every executor must reach it: by default it is below the cluster's checkpoint folder, or below the
+    machine's temporary one if everything runs in one process.
+    """
+    if shared is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.gettempdir()
     root = f"{shared.rstrip('/')}/tierline-{uuid4().hex}"

@@ -20,17 +20,18 @@ with a0 as (
     case when l_quantity = 1 then 0 when l_quantity = 2 then null
       when l_returnflag = 'R' then -l_extendedprice else l_extendedprice end as total_amount,
     st as start_ts, st + to_hours(cast(l_quantity - 3 as int)) as end_ts,
-    case when year(l_shipdate) >= 1997 then l_tax end as surcharge
+    case when year(l_shipdate) >= 1997 then l_tax end as surcharge, null as status
   from a0
   union all
   select 'b', o_orderdate, o_custkey, o_custkey % 7,
     case when o_orderstatus = 'P' then -o_totalprice else o_totalprice end,
-    st, st + to_hours(cast(o_orderkey % 5 as int)), null
+    st, st + to_hours(cast(o_orderkey % 5 as int)), null,
+    case when o_orderkey % 2 = 1 then o_orderstatus end
   from b0
   union all
   select 'c', ts, user_id, user_id % 6,
     case when event_type = 'error' then -value else value end,
-    ts, ts + to_minutes(cast(event_id % 60 as int)), null
+    ts, ts + to_minutes(cast(event_id % 60 as int)), null, null
   from events
 ), versioned as (
   select *, cast(year(file_date) as int) as year, cast(month(file_date) as int) as month,
@@ -45,6 +46,7 @@ with a0 as (
   select *, cents / 100.0 as amount, coalesce(total_amount >= 0, false) as is_amount_valid,
     cast(hour(start_ts) as int) as start_hour,
     cast(case when silver_version < 2 then 0 else 1 end as bigint) as gold_version,
+    -- fixed values: bucket labels and bounds
     case when amount < 0 then 'negative' when amount = 0 then 'zero' when amount < 20 then '0-20'
       when amount < 50 then '20-50' when amount < 100 then '50-100' else '100+' end as bucket
   from versioned
@@ -83,11 +85,25 @@ def grouped(keys: str, where: str = "true", count: str = "rows") -> str:
 
 
 MISMATCHES = {
-    "pl4_verify_bronze": "feed, source_file, cast(0 as bigint) as landing_rows, cast(0 as bigint) as bronze_rows",
-    "pl5_verify_silver": "feed, cast(0 as bigint) as bronze_rows, cast(0 as bigint) as silver_rows",
-    "pl6_verify_gold": "feed, cast(0 as bigint) as silver_rows, cast(0 as bigint) as gold_rows",
+    "pl4_passing_bronze": "feed, source_file, cast(0 as bigint) as landing_rows, cast(0 as bigint) as bronze_rows",
+    "pl5_passing_silver": "feed, cast(0 as bigint) as bronze_rows, cast(0 as bigint) as silver_rows",
+    "pl6_passing_gold": "feed, cast(0 as bigint) as silver_rows, cast(0 as bigint) as gold_rows",
 }
 
+# the newest commit of every table: what it did, its rows and the highest source version among them
+LAST_COMMITS = f"""{ROWS}, commits as (
+  select 'bronze_' || feed as "table", bronze_version as version, 'ingest ' || feed as operation,
+    {COUNT} as rows, cast(null as bigint) as source_version
+  from rows group by feed, bronze_version
+  qualify bronze_version = max(bronze_version) over (partition by feed)
+  union all
+  select 'silver', silver_version, 'conform ' || feed, {COUNT}, max(bronze_version)
+  from rows group by feed, silver_version qualify silver_version = max(silver_version) over ()
+  union all
+  select 'gold', gold_version, 'publish', {COUNT}, max(silver_version)
+  from rows group by gold_version qualify gold_version = max(gold_version) over ()
+)"""
+
 RECONCILIATION = of_rows(
     f"""select layer, feed, {COUNT} as rows
     from rows cross join (values ('bronze'), ('silver'), ('gold')) as layers(layer)
@@ -96,12 +112,12 @@ RECONCILIATION = of_rows(
 
 ORACLE: dict[str, str] = {
     "src1_read_clean": of_rows(
-        """select source_file, entity_id as entity_code, cast(party_size as double) as party_size,
-        total_amount from rows where feed = 'b'"""
+        """select feed, source_file, entity_id as entity_code, cast(party_size as double) as party_size,
+        total_amount from rows"""
     ),
     "src2_read_new_files": of_rows(
-        """select source_file, entity_id as entity_code, total_amount, surcharge
-        from rows where feed = 'a'"""
+        """select feed, source_file, entity_id as entity_code, total_amount, surcharge, status
+        from rows"""
     ),
     "src3_landed_files": of_rows("select distinct feed, source_file from rows"),
     "src4_ingested_files": of_rows("select distinct feed, source_file from rows"),
@@ -115,9 +131,9 @@ ORACLE: dict[str, str] = {
         where feed = 'a' group by env, source_file"""
     ),
     "snk1_bronze_append": of_rows(
-        f"""select bronze_version as _commit_version, {COUNT} as rows,
-        count(surcharge) as with_surcharge, cast(sum(entity_id) as bigint) as entity_sum
-        from rows where feed = 'a' group by bronze_version"""
+        f"""select feed, bronze_version as _commit_version, {COUNT} as rows,
+        count(surcharge) as with_surcharge, count(status) as with_status,
+        cast(sum(entity_id) as bigint) as entity_sum from rows group by feed, bronze_version"""
     ),
     "snk2_silver_insert": of_rows(
         f"select {SILVER_COLUMNS}, bronze_version as _source_version from rows"
@@ -125,7 +141,11 @@ ORACLE: dict[str, str] = {
     "snk3_gold_insert": of_rows(
         f"select {GOLD_COLUMNS}, silver_version as _source_version from rows"
     ),
-    "snk6_period_layout": grouped("feed, year, month"),
+    "snk6_period_layout": of_rows(
+        f"""select layer, feed, year, month, {COUNT} as rows
+        from rows cross join (values ('silver'), ('gold')) as layers(layer)
+        group by layer, feed, year, month"""
+    ),
     "ver1_last_version": of_rows(
         """select 'bronze_' || feed as "table", max(bronze_version) as version from rows group by feed
         union all select 'silver', max(silver_version) from rows
@@ -136,22 +156,15 @@ ORACLE: dict[str, str] = {
         union all select 'silver_none', coalesce(max(bronze_version), -1) from rows where feed = 'none'
         union all select 'gold', max(silver_version) from rows"""
     ),
-    "ver3_written_rows": of_rows(
-        f"""select feed, bronze_version as version, {COUNT} as rows from rows
-        group by feed, bronze_version
-        qualify bronze_version = max(bronze_version) over (partition by feed)"""
-    ),
+    "ver3_written_rows": f'{LAST_COMMITS} select "table", version, rows from commits',
     "ver4_load_history": of_rows(
         f"""select silver_version as version, 'conform ' || feed as operation, {COUNT} as rows
         from rows group by silver_version, feed"""
     ),
-    "lim1_latest_commit": of_rows(
-        f"""select gold_version as version, 'publish' as operation, {COUNT} as rows
-        from rows group by gold_version order by gold_version desc limit 1"""
-    ),
+    "lim1_latest_commit": f"{LAST_COMMITS} select * from commits",
     "prj1_conform_to_table": of_rows(
-        """select source_file, entity_id as entity_code, cast(party_size as double) as party_size,
-        surcharge from rows where feed = 'a'"""
+        """select feed, source_file, entity_id as entity_code, cast(party_size as double) as party_size,
+        surcharge, status from rows"""
     ),
     "prj2_silver_projection": of_rows(
         f"select {SILVER_COLUMNS}, bronze_version as _source_version from rows"
@@ -178,11 +191,11 @@ ORACLE: dict[str, str] = {
     ),
     "flt6_case_bucketing": grouped("feed, bucket"),
     "jn1_new_files": of_rows(
-        "select distinct source_file from rows where feed = 'a' and bronze_version = 1"
+        "select distinct feed, source_file from rows where bronze_version = 1"
     ),
     "jn2_landing_vs_bronze": of_rows(
-        f"""select source_file, {COUNT} as landing_rows, cast(0 as bigint) as bronze_rows
-        from rows where feed = 'a' and bronze_version = 1 group by source_file"""
+        f"""select feed, source_file, {COUNT} as landing_rows, cast(0 as bigint) as bronze_rows
+        from rows where bronze_version = 1 group by feed, source_file"""
     ),
     "jn3_silver_vs_gold": of_rows(
         """select feed, count(*) filter (silver_version >= 2) as silver_rows,
@@ -204,10 +217,10 @@ ORACLE: dict[str, str] = {
     ),
     "agg1_rows_per_file": grouped("feed, source_file", count="bronze_rows"),
     "agg2_landing_counts": grouped("feed, source_file", count="landing_rows"),
-    "agg3_global_count": of_rows(f"select {COUNT} as rows from rows where feed = 'a'"),
+    "agg3_global_count": of_rows(f"select {COUNT} as rows from rows"),
     "agg4_count_per_feed": grouped("feed"),
     "agg5_distinct_files": of_rows(
-        f"""select count(distinct source_file) as files, {COUNT} as rows from rows where feed = 'a'"""
+        f"""select feed, count(distinct source_file) as files, {COUNT} as rows from rows group by feed"""
     ),
     "agg6_month_coverage": grouped("feed, year, month"),
     "agg7_start_range": of_rows(
@@ -294,8 +307,8 @@ ORACLE: dict[str, str] = {
     ),
     "set5_layer_reconciliation": f"{RECONCILIATION} order by feed, layer",
     "set6_union_by_name": of_rows(
-        f"""select source_file, {COUNT} as rows, count(surcharge) as with_surcharge
-        from rows where feed in ('a', 'b') group by source_file"""
+        f"""select source_file, {COUNT} as rows, count(surcharge) as with_surcharge,
+        count(status) as with_status from rows group by source_file"""
     ),
     "sc1_cast_to_int": of_rows(
         f"""select feed, cast(trunc(party_size) as int) as party_size, {COUNT} as rows
@@ -362,6 +375,21 @@ ORACLE: dict[str, str] = {
         f"""select feed, gold_version as _commit_version, silver_version as _source_version,
         {COUNT} as rows from rows group by all"""
     ),
+    "pl4_verify_bronze": of_rows(
+        f"""select feed, source_file, {COUNT} as landing_rows,
+        cast(case when feed = 'c' then 2 * count(*) else 0 end as bigint) as bronze_rows
+        from rows where feed = 'c' or bronze_version = 1 group by feed, source_file"""
+    ),
+    "pl5_verify_silver": of_rows(
+        """select feed, cast(case when feed = 'c' then 2 else 1 end * count(*) filter (bronze_version = 0)
+          as bigint) as bronze_rows, count(*) filter (silver_version >= 2) as silver_rows
+        from rows group by feed having bronze_rows <> silver_rows"""
+    ),
+    "pl6_verify_gold": of_rows(
+        """select feed, count(*) filter (silver_version >= 2) as silver_rows,
+        count(*) filter (gold_version = 0) as gold_rows from rows group by feed
+        having silver_rows <> gold_rows"""
+    ),
     **{name: of_rows(f"select {columns} from rows where false") for name, columns in MISMATCHES.items()},
     "pl7_build": of_rows(
         f"""select feed, month, {COUNT} as rows, cast(sum(cents) / 100.0 as double) as revenue

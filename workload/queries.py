@@ -5,6 +5,7 @@ returns: counts bigint, calendar parts int, money and ratios double, times witho
 """
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from functools import reduce
 from threading import Lock
 
@@ -88,24 +89,55 @@ def landed(layers: Layers, feed: str) -> DataFrame:
     return landing.landed_files(layers.spark, layers.landing(feed))
 
 
+def or_null(df: DataFrame, name: str, kind: str):
+    """The column, or NULL of its type where a feed never had it."""
+    column = F.col(name) if name in df.columns else F.lit(None)
+    return column.cast(kind).alias(name)
+
+
+def every_table(layers: Layers, of_table: Callable) -> DataFrame:
+    """Union of a frame per table of all layers, labelled with the table."""
+    tables = {f"bronze_{name}": layers.bronze(name) for name in NAMES}
+    tables |= {"silver": layers.silver, "gold": layers.gold}
+    return stack(of_table(table).withColumn("table", F.lit(name)) for name, table in tables.items())
+
+
 # Scans and sources
 
 
 @on_layers
 def src1_read_clean(layers: Layers) -> DataFrame:
-    """Feed b's files differ in column-name case only."""
-    names = landed_names(layers, "b")
-    rows = landing.read_clean(layers.spark, layers.landing("b"), names)
-    return doubles(rows.select("source_file", "entity_code", "party_size", "total_amount"), "party_size")
+    """Every feed, a scan for each group of its files whose schemas merge."""
+
+    def groups(feed: str) -> DataFrame:
+        directory = layers.landing(feed)
+        parts = landing.merged_schemas(layers.spark, directory, landed_names(layers, feed))
+        return stack(
+            landing.read_clean(layers.spark, directory, names, schema).select(
+                "source_file", F.col("entity_code").cast("bigint"), "party_size", "total_amount"
+            )
+            for names, schema in parts
+        )
+
+    return per_feed(groups)
 
 
 @on_layers
 def src2_read_new_files(layers: Layers) -> DataFrame:
-    """Feed a's files differ in the entity's type and in having a surcharge."""
-    directory = layers.landing("a")
-    names = landed_names(layers, "a")
-    rows = landing.read_new_files(layers.spark, directory, names)
-    return rows.select("source_file", "entity_code", "total_amount", "surcharge")
+    """Feed a's files differ in the entity's type and in having a surcharge, the parts of b's directories
+    in the case of a name and in having a status."""
+
+    def rows(feed: str) -> DataFrame:
+        read = landing.read_new_files(layers.spark, layers.landing(feed), landed_names(layers, feed))
+        return read.select(
+            "source_file",
+            "entity_code",
+            "total_amount",
+            or_null(read, "surcharge", "double"),
+            or_null(read, "status", "string"),
+        )
+
+    return per_feed(rows)
 
 
 @on_layers
@@ -149,13 +181,18 @@ def src7_table_scan(layers: Layers) -> DataFrame:
 
 @on_layers
 def snk1_bronze_append(layers: Layers) -> DataFrame:
-    """Bronze a after two appends, the second extending the table's type-drifted files."""
-    rows = layers.bronze("a").read()
-    return rows.groupBy("_commit_version").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("surcharge").alias("with_surcharge"),
-        F.sum(F.col("entity_code").cast("bigint")).alias("entity_sum"),
-    )
+    """Bronze after all appends; a's second one extended the table's type-drifted files."""
+
+    def per_commit(feed: str) -> DataFrame:
+        rows = layers.bronze(feed).read()
+        return rows.groupBy("_commit_version").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count(or_null(rows, "surcharge", "double")).alias("with_surcharge"),
+            F.count(or_null(rows, "status", "string")).alias("with_status"),
+            F.sum(F.col("entity_code").cast("bigint")).alias("entity_sum"),
+        )
+
+    return per_feed(per_commit)
 
 
 @on_layers
@@ -170,14 +207,18 @@ def snk3_gold_insert(layers: Layers) -> DataFrame:
 
 @on_layers
 def snk6_period_layout(layers: Layers) -> DataFrame:
-    """Rows per gold directory, taken from the path: the layout agrees with the columns."""
+    """Rows per feed and period in silver and gold. What is a directory there is taken from the path: the
+    feed in silver, all three in gold."""
     path = F.col("_metadata.file_path")
-    rows = layers.gold.read().select(
-        F.regexp_extract(path, "/feed=([^/]+)/", 1).alias("feed"),
+    feed = F.regexp_extract(path, "/feed=([^/]+)/", 1).alias("feed")
+    gold = layers.gold.read().select(
+        F.lit("gold").alias("layer"),
+        feed,
         F.regexp_extract(path, "/year=([0-9]+)/", 1).cast("int").alias("year"),
         F.regexp_extract(path, "/month=([0-9]+)/", 1).cast("int").alias("month"),
     )
-    return A.count_rows(rows, "feed", "year", "month")
+    silver = layers.silver.read().select(F.lit("silver").alias("layer"), feed, "year", "month")
+    return A.count_rows(gold.unionByName(silver), "layer", "feed", "year", "month")
 
 
 @on_layers
@@ -204,7 +245,7 @@ def ver2_table_version(layers: Layers) -> DataFrame:
 @on_layers
 def ver3_written_rows(layers: Layers) -> DataFrame:
     """Rows of each table's last commit."""
-    return per_feed(lambda name: layers.bronze(name).last_commit().select("version", "rows"))
+    return every_table(layers, lambda table: table.last_commit().select("version", "rows"))
 
 
 @on_layers
@@ -214,7 +255,10 @@ def ver4_load_history(layers: Layers) -> DataFrame:
 
 @on_layers
 def lim1_latest_commit(layers: Layers) -> DataFrame:
-    return layers.gold.last_commit().select("version", "operation", "rows")
+    """The newest commit of each table, and the highest source version it brought."""
+    return every_table(
+        layers, lambda table: table.last_commit().select("version", "operation", "rows", "source_version")
+    )
 
 
 # Projections, filters, predicates
@@ -222,11 +266,20 @@ def lim1_latest_commit(layers: Layers) -> DataFrame:
 
 @on_layers
 def prj1_conform_to_table(layers: Layers) -> DataFrame:
-    """Feed a's files read afresh and cast to the types of the table they went into."""
-    directory, table = layers.landing("a"), layers.bronze("a").schema()
-    names = landed_names(layers, "a")
-    rows = C.conform_to_table(landing.read_new_files(layers.spark, directory, names), table)
-    return rows.select("source_file", "entity_code", "party_size", "surcharge")
+    """Every feed's files read afresh and cast to the types of the table they went into."""
+
+    def rows(feed: str) -> DataFrame:
+        read = landing.read_new_files(layers.spark, layers.landing(feed), landed_names(layers, feed))
+        cast = C.conform_to_table(read, layers.bronze(feed).schema())
+        return cast.select(
+            "source_file",
+            F.col("entity_code").cast("bigint"),
+            "party_size",
+            or_null(cast, "surcharge", "double"),
+            or_null(cast, "status", "string"),
+        )
+
+    return per_feed(rows)
 
 
 @on_layers
@@ -285,16 +338,25 @@ def flt6_case_bucketing(layers: Layers) -> DataFrame:
 @on_layers
 def jn1_new_files(layers: Layers) -> DataFrame:
     """What a bronze that has only the first run's files would still have to read."""
-    first_run = layers.bronze("a").read_inserts_since(0, 0).select("source_file").distinct()
-    return R.new_files(landed(layers, "a"), first_run)
+
+
+    def new(feed: str) -> DataFrame:
+        first_run = layers.bronze(feed).read_inserts_since(0, 0).select("source_file").distinct()
+        return R.new_files(landed(layers, feed), first_run)
+
+    return per_feed(new)
 
 
 @on_layers
 def jn2_landing_vs_bronze(layers: Layers) -> DataFrame:
     """Landing against the bronze rows of the first run only: the second run's files differ."""
-    first_run = A.count_rows(layers.bronze("a").read_inserts_since(0, 0), "source_file", alias="bronze_rows")
-    in_landing = landing.landing_counts(layers.spark, {"a": layers.landing("a")})
-    return R.reconcile_left(in_landing, first_run, ["source_file"], ("landing_rows", "bronze_rows"))
+    first_run = per_feed(
+        lambda feed: A.count_rows(
+            layers.bronze(feed).read_inserts_since(0, 0), "source_file", alias="bronze_rows"
+        )
+    )
+    in_landing = landing.landing_counts(layers.spark, {name: layers.landing(name) for name in NAMES})
+    return R.reconcile_left(in_landing, first_run, ["feed", "source_file"], ("landing_rows", "bronze_rows"))
 
 
 @on_layers
@@ -343,7 +405,8 @@ def agg2_landing_counts(layers: Layers) -> DataFrame:
 
 @on_layers
 def agg3_global_count(layers: Layers) -> DataFrame:
-    return A.count_rows(layers.bronze("a").read())
+    """All rows of all bronze tables, in one number."""
+    return A.count_rows(stack(layers.bronze(name).read().select("source_file") for name in NAMES))
 
 
 @on_layers
@@ -353,8 +416,10 @@ def agg4_count_per_feed(layers: Layers) -> DataFrame:
 
 @on_layers
 def agg5_distinct_files(layers: Layers) -> DataFrame:
-    return layers.bronze("a").read().agg(
-        F.count_distinct("source_file").alias("files"), F.count(F.lit(1)).alias("rows")
+    return per_feed(
+        lambda feed: layers.bronze(feed).read().agg(
+            F.count_distinct("source_file").alias("files"), F.count(F.lit(1)).alias("rows")
+        )
     )
 
 
@@ -493,11 +558,13 @@ def set5_layer_reconciliation(layers: Layers) -> DataFrame:
 
 @on_layers
 def set6_union_by_name(layers: Layers) -> DataFrame:
-    """Bronze a and b by name: b has no surcharge, so its is NULL."""
-    a, b = (layers.bronze(name).read().drop("a_start_ts", "a_end_ts", "b_start_ts", "b_end_ts") for name in "ab")
-    rows = a.unionByName(b, allowMissingColumns=True)
+    """All bronze tables by name: only a has a surcharge and only b a status, so the others' are NULL."""
+    tables = [layers.bronze(feed.name).read().drop(feed.start_col, feed.end_col) for feed in FEEDS]
+    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
     return rows.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("rows"), F.count("surcharge").alias("with_surcharge")
+        F.count(F.lit(1)).alias("rows"),
+        F.count("surcharge").alias("with_surcharge"),
+        F.count("status").alias("with_status"),
     )
 
 
@@ -655,18 +722,62 @@ def pl3_publish(layers: Layers) -> DataFrame:
     return A.count_rows(layers.gold.read(), "feed", "_commit_version", "_source_version")
 
 
+@dataclass(frozen=True)
+class BesideLanding(Layers):
+    """Tables of their own over another environment's landing directories."""
+
+    landing_root: str = ""
+
+    def landing(self, feed: str) -> str:
+        return f"{self.landing_root}/landing/{feed}"
+
+
+def faulty(layers: Layers) -> Layers:
+    """An environment with faults in every layer: bronze lacks a's and b's second run and has c's rows twice,
+    silver has the second run only, gold the first only."""
+    other = BesideLanding(layers.spark, f"{layers.root}-faulty", landing_root=layers.root)
+    with MAKING:
+        if not other.gold.exists():
+
+            def copy(source, target, versions: str) -> None:
+                target.append(source.read().where(versions).drop("_commit_version"), "copy")
+
+            for name in [*NAMES, "c"]:
+                copy(layers.bronze(name), other.bronze(name), "_commit_version = 0")
+            copy(layers.silver, other.silver, "_commit_version >= 2")
+            copy(layers.gold, other.gold, "_commit_version = 0")
+    return other
+
+
 @on_layers
 def pl4_verify_bronze(layers: Layers) -> DataFrame:
-    return verify.bronze_mismatches(layers, FEEDS)
+    """What the gate finds in the faulty environment."""
+    return verify.bronze_mismatches(faulty(layers), FEEDS)
 
 
 @on_layers
 def pl5_verify_silver(layers: Layers) -> DataFrame:
-    return verify.silver_mismatches(layers, FEEDS)
+    return verify.silver_mismatches(faulty(layers), FEEDS)
 
 
 @on_layers
 def pl6_verify_gold(layers: Layers) -> DataFrame:
+    return verify.gold_mismatches(faulty(layers))
+
+
+@on_layers
+def pl4_passing_bronze(layers: Layers) -> DataFrame:
+    """The same gate over whole layers: no rows."""
+    return verify.bronze_mismatches(layers, FEEDS)
+
+
+@on_layers
+def pl5_passing_silver(layers: Layers) -> DataFrame:
+    return verify.silver_mismatches(layers, FEEDS)
+
+
+@on_layers
+def pl6_passing_gold(layers: Layers) -> DataFrame:
     return verify.gold_mismatches(layers)
 
 
