@@ -163,12 +163,16 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str, text: str, capacity: in
             arrays = [batch.column(0).take(pa.array(columns[0], pa.int64()))]
             arrays += [pa.array(c, t) for c, t in zip(columns[1:8], types[1:], strict=True)]
             if with_ids:
-                arrays.append(pa.array([memoryview(part).cast("I").tolist() for part in columns[8]], pa.list_(pa.int32())))
+                ids_of = [memoryview(part).cast("I").tolist() for part in columns[8]]
+                arrays.append(pa.array(ids_of, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.record_batch(arrays, ["doc_id", *names])
 
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
-    schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, class int, task int, place bigint"
+    schema = (
+        f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+        "class int, task int, place bigint"
+    )
     return texts.mapInArrow(cut_batches, schema + extra)
 
 
@@ -211,9 +215,12 @@ def pack(
     # full sequences of the classes before, a row per class
     classes = per_task.groupBy("class").agg(F.floor(F.sum("count") / F.col("class")).alias("full"))
     lower = Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
-    first = classes.select("class", F.coalesce(F.sum("full").over(lower), F.lit(0)).alias("first"))
+    first = classes.select(
+        "class",
+        F.coalesce(F.sum("full").over(lower), F.lit(0)).alias("first"),
+        F.sum("full").over(Window.partitionBy()).alias("full_sequences"),
+    )
     offsets = written(of_class.join(first, "class"), "piece-offsets")
-    total = classes.agg(F.coalesce(F.sum("full"), F.lit(0)).alias("full_sequences"))
     small = broadcast_if_small(offsets, BROADCAST_OFFSETS)
     numbered = (
         made.join(offsets if small is None else small, ["class", "task"])
@@ -224,8 +231,8 @@ def pack(
     full = numbered.where("in_full").select(
         *kept, (F.col("first") + F.floor(F.col("number") / F.col("class"))).cast("bigint").alias("sequence_id"), "number"
     )
-    rest = numbered.where("not in_full").crossJoin(F.broadcast(total))
-    rest = rest.select(*kept, "full_sequences", (F.col("class") * F.lit(1 << 40) + F.col("number")).alias("number"))
+    place = (F.col("class") * F.lit(1 << 40) + F.col("number")).alias("number")
+    rest = numbered.where("not in_full").select(*kept, "full_sequences", place)
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("number", ignore_index=True)

@@ -116,5 +116,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_vantage_points, op2_mixing, op3_exact_dedup, op4_url_filter, op5_preference_pairs, op6_harmonic_packing, op7_chosen_path, op8_suffix_dedup, op9_toxicity, op10_token_counts)
+    for query in (
+        op1_vantage_points,
+        op2_mixing,
+        op3_exact_dedup,
+        op4_url_filter,
+        op5_preference_pairs,
+        op6_harmonic_packing,
+        op7_chosen_path,
+        op8_suffix_dedup,
+        op9_toxicity,
+        op10_token_counts,
+    )
 }

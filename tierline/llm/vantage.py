@@ -21,7 +21,6 @@ table gives no rows.
 """
 
 import io
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -230,7 +229,8 @@ def nearest(
         ids, rows = ids[order], rows[order]
         first = np.concatenate([[True], ids[1:] != ids[:-1]])
         tree = Tree.build(ids[first], rows[first])
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "width": pa.array([key[1].as_py()], pa.int32()), "tree": pa.array([tree.dump()], pa.binary())})
+        shard, width = (pa.array([part.as_py()], pa.int32()) for part in key)
+        return pa.table({"shard": shard, "width": width, "tree": pa.array([tree.dump()], pa.binary())})
 
     dealt = points.select(
         F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
