@@ -17,9 +17,10 @@ and a row of the first bucket table, keyed by the anchor's q-gram:
    of a bucket fetch their bytes, and the bucket is refined string by string, at equal distance from the
    anchor.
 
-Skew: the rows of a first bucket pass a window that spills, and need no memory of their own. A bucket with
-more than MOST_BLOCKS different blocks is not refined in one task; its strings are counted by identifier,
-combined before the shuffle.
+Skew: no task gets the rows of a first bucket. Buckets and their kinds of blocks are counted, combined before
+the shuffle, and the counts come back to the rows by equality joins, which are broadcast where the counts are
+few and split by adaptive execution where a q-gram is frequent. A bucket with more than MOST_BLOCKS different
+blocks is not refined in one task; its strings are counted by identifier, combined before the shuffle.
 
 Edge cases: NULL counts as empty; texts below LENGTH bytes lose nothing; repeated rows repeat each other;
 texts of one repeated character are handled like any other; very long texts are cut into overlapping slices; an
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.support import broadcast_if_small, run_starts, sorted_runs, text_bytes, text_or_empty, written
@@ -150,21 +151,25 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([*rows.columns, *columns], names)
 
 
-def bucketed(blocks: DataFrame) -> DataFrame:
-    """Blocks told what their bucket says: `repeats` if an equal block exists (all its strings go), `asks` if
-    it must be refined, as the first of its kind in a bucket of several kinds. Others are dropped."""
-    bucket = Window.partitionBy("gram")
-    in_order = bucket.orderBy("block")
-    ahead, behind = F.lag("block").over(in_order), F.lead("block").over(in_order)
-    seen = blocks.select(
-        "*",
-        ahead.eqNullSafe(F.col("block")).alias("follows"),
-        behind.eqNullSafe(F.col("block")).alias("leads"),
-        (F.min("block").over(bucket) != F.max("block").over(bucket)).alias("several"),
+def bucketed(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks that repeat as a whole (all their strings go), and blocks that must be refined: one of each kind
+    in buckets of several kinds. Blocks alone in their bucket are neither."""
+    figures = blocks.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("block").alias("least"), F.max("block").alias("most")
     )
-    told = seen.withColumn("repeats", F.col("follows") | F.col("leads"))
-    told = told.withColumn("asks", ~F.col("follows") & F.col("several"))
-    return told.where("repeats or asks").drop("follows", "leads", "several", "block")
+    # written: a join right above its side's aggregation is not split where a key is frequent
+    several = (F.col("least") != F.col("most")).alias("several")
+    shared = written(figures.where("rows > 1").select("gram", several), "bucket-figures")
+    told = written(blocks.join(shared, "gram"), "shared-grams")
+    of_several = told.where("several").drop("several")
+    of_kind = [F.first(name).alias(name) for name in ("row_id", "tag", "start", "strings", "anchor")]
+    kinds = of_several.groupBy("gram", "block").agg(F.count(F.lit(1)).alias("rows"), *of_kind)
+    kinds = written(kinds, "kinds")
+    again = kinds.where("rows > 1").select("gram", "block")
+    repeats = told.where("not several").drop("several").unionByName(
+        of_several.join(again, ["gram", "block"], "left_semi")
+    )
+    return repeats.select("row_id", "tag", "start", "strings"), kinds.drop("block", "rows")
 
 
 REFINED = "row_id bigint, tag int, start int, strings int, anchor int, gram bigint, bytes binary"
@@ -271,8 +276,8 @@ def keyed_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """Spans of repeated strings in keyed texts: row_id, tag, start, strings. Spans may touch and overlap."""
     long = texts.where(F.octet_length("text") >= LENGTH).select("row_id", "tag", "text")
-    told = written(bucketed(long.mapInArrow(_blocks, BLOCK)), "blocks")
-    asked = told.where("asks").groupBy("row_id", "tag").agg(
+    spans, asks = bucketed(written(long.mapInArrow(_blocks, BLOCK), "blocks"))
+    asked = asks.groupBy("row_id", "tag").agg(
         F.collect_set(F.struct("start", "strings", "anchor", "gram")).alias("asked")
     )
     # texts move once for all buckets; the bytes of the blocks are few
@@ -280,7 +285,6 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     blocks = written(found.mapInArrow(_fetched, REFINED), "block-bytes")
     crowded = blocks.groupBy("gram").count().where(F.col("count") > MOST_BLOCKS).select("gram")
     crowded = written(crowded, "crowded")
-    spans = told.where("repeats").select("row_id", "tag", "start", "strings")
     few = blocks
     if not crowded.isEmpty():
         small = broadcast_if_small(crowded, BROADCAST_BUCKETS)
