@@ -43,6 +43,7 @@ SLICE = 1 << 20  # string starts worked on at a time
 PLACE = np.uint64((1 << 22) - 1)  # bits of a key that hold the place within a slice
 MOST_BLOCKS = 16_384
 BROADCAST_BUCKETS = 100_000
+BROADCAST_KINDS = 100_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -166,6 +167,8 @@ def bucketed(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     kinds = of_several.groupBy("gram", "block").agg(F.count(F.lit(1)).alias("rows"), *of_kind)
     kinds = written(kinds, "kinds")
     again = kinds.where("rows > 1").select("gram", "block")
+    few = broadcast_if_small(again, BROADCAST_KINDS)
+    again = again if few is None else few
     repeats = told.where("not several").drop("several").unionByName(
         of_several.join(again, ["gram", "block"], "left_semi")
     )
