@@ -188,6 +188,13 @@ def test_toxicity_edge_cases(spark):
     assert toxicity.toxicity_scores(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
 
 
+def test_upper_case_counts_over_the_whole_text():
+    calm, loud = "quiet words " * 200, "LOUD WORDS " * 600
+    assert toxicity.patterns(calm + loud, 1600)[0] == 1  # shouting starts after 2000 characters
+    assert toxicity.patterns(loud[:2400] + calm * 4, 1000)[0] == 0
+    assert toxicity.patterns("", 0)[0] == 0
+
+
 def test_label_model_recovers_hidden_labels():
     chance = np.random.default_rng(0)
     hidden = chance.random(4000) < 0.2

@@ -57,7 +57,7 @@ def units(word: str) -> set[str]:
 def patterns(text: str, words: int) -> tuple[int, ...]:
     """Votes of the pattern voters, 1 or 0."""
     letters = max(1, len(text))
-    upper = sum(map(str.isupper, text[:2000])) / min(letters, 2000) if text else 0.0
+    upper = sum(map(str.isupper, text)) / letters
     marks = text.count("!") + text.count("?")
     second = len(SECOND_PERSON.findall(text))
     return (
