@@ -207,6 +207,23 @@ def test_near_dedup_keeps_one_of_each_class(docs, empty):
     assert chosen_path.near_dedup(empty).count() == 0 == chosen_path.near_classes(empty).count()
 
 
+def test_near_dedup_decides_by_row(spark):
+    a, b = BASE, " ".join(f"v{i}" for i in range(90))
+    near_a, near_b = a + " more", b + " more"
+    rows = [
+        (5, "", 0), (None, None, 1), (None, "no id here at all", 2), (None, "clean, without id", 3), (3, a, 4), (3, b, 5), (1, near_b, 6),
+        (7, "one line", 7), (7, "one  line", 8), (7, "another line", 9), (8, a + " x", 10), (None, near_a, 11),
+        (None, "twice without id", 12), (None, "twice  without id", 13), (9, "p " + b[:200], 14), (9, "q p " + b[:200], 15),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, n int").repartition(3)
+    kept = [tuple(row) for row in chosen_path.near_dedup(frame).collect()]
+    class_of = {i: c for i, c, *_ in near_brute([(n, text) for _, text, n in rows])}
+    wanted = {c: min((rows[n][0] for n in class_of if class_of[n] == c and rows[n][0] is not None), default=None) for c in class_of.values()}
+    assert sorted((class_of[n], i) for i, _, n in kept) == sorted(wanted.items())
+    assert {rows[n] for _, _, n in kept} == set(kept)
+    assert {2, 3, 4, 6} <= {n for _, _, n in kept} and 5 not in {n for _, _, n in kept}
+
+
 def test_runs_follow_the_recall():
     assert chosen_path.runs_needed(0.8, 0.9999, 1) < chosen_path.runs_needed(0.8, 0.9999, 3)
     assert 1 - (1 - 0.8**3) ** chosen_path.runs_needed(0.8, 0.9999, 3) >= 0.9999

@@ -27,7 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.support import run_starts, sorted_runs, text_or_empty, written
@@ -369,7 +369,7 @@ def components(edges: DataFrame) -> DataFrame:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def near_classes(
+def _placed_rows(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -379,8 +379,8 @@ def near_classes(
     small: int = SMALL,
     block: int = BLOCK,
 ) -> DataFrame:
-    """A row per document: doc_id, class_id (smallest id of its class), class_size (documents), n_links
-    (different texts it is similar to) and n_copies (documents of equal words, itself included)."""
+    """The rows of `near_classes` with words_id, and keeper: the words_id of the text that stands for the class,
+    the first of those that hold its smallest id."""
     choices = runs_needed(threshold, recall, deepest) * deepest
     rows = written(signed_rows(docs, doc_id, text, choices), "signed")
     texts = written(
@@ -402,24 +402,48 @@ def near_classes(
         .withColumn("component", F.coalesce("component", "words_id"))
     )
     known = written(known, "known-texts")
+    first = F.min(F.struct(F.col("first_id").isNull().alias("no_id"), "first_id", "words_id"))
     classes = known.groupBy("component").agg(
-        F.min("first_id").alias("class_id"), F.sum("n_copies").alias("class_size")
+        F.min("first_id").alias("class_id"), F.sum("n_copies").alias("class_size"), first["words_id"].alias("keeper")
     )
     of_text = known.join(classes, "component").select(
-        "words_id", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies"
+        "words_id", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies", "keeper"
     )
-    return rows.select("doc_id", "words_id").join(of_text, "words_id").drop("words_id")
+    return rows.select("doc_id", "words_id").join(of_text, "words_id")
+
+
+def near_classes(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    threshold: float = THRESHOLD,
+    recall: float = RECALL,
+    deepest: int = DEEPEST,
+    small: int = SMALL,
+    block: int = BLOCK,
+) -> DataFrame:
+    """A row per document: doc_id, class_id (smallest id of its class), class_size (documents), n_links
+    (different texts it is similar to) and n_copies (documents of equal words, itself included)."""
+    return _placed_rows(docs, doc_id, text, threshold, recall, deepest, small, block).drop("words_id", "keeper")
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of `docs` for each class, that of the smallest id, with all its columns. Rows without id go
-    only if a row with id is in their class."""
-    classes = written(near_classes(docs, doc_id, text), "classes")
-    gone = classes.where("doc_id is null and class_id is not null or doc_id <> class_id").select("doc_id").distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_id"), words_of(text).alias("_words"))
-    stays = rows.join(gone, rows["_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    repeated = classes.groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():  # an id on several rows: of those with equal words one stays
-        order = Window.partitionBy("_id", "_words").orderBy(F.xxhash64("_row"))
-        stays = stays.withColumn("_nth", F.row_number().over(order)).where("_nth = 1")
+    """One row of `docs` for each class, with all its columns: one of the smallest id, or one without id where
+    no row of the class has any. Rows are told apart by id and words, so equal ids share no fate."""
+    placed = _placed_rows(docs, doc_id, text).select("doc_id", "words_id", "class_id", "keeper")
+    placed = written(placed, "classes")
+    stands = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("words_id") == F.col("keeper"))
+    gone = placed.where(~stands).select("doc_id", "words_id").distinct()
+    rows = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_id"), words_id(words_of(text)).alias("_words"))
+
+    def same(pairs: DataFrame) -> Column:
+        return rows["_id"].eqNullSafe(pairs["doc_id"]) & (rows["_words"] == pairs["words_id"])
+
+    stays = rows.join(gone, same(gone), "left_anti")
+    repeated = placed.where(stands).groupBy("doc_id", "words_id").count().where("count > 1")
+    repeated = written(repeated.select("doc_id", "words_id"), "repeated-rows")
+    if not repeated.isEmpty():  # an id on several rows of equal words: one stays, combined before the shuffle
+        one = F.min_by("_row", F.xxhash64("_row")).alias("_row")
+        of_many = rows.join(repeated, same(repeated), "left_semi").groupBy("_id", "_words").agg(one)
+        stays = stays.join(repeated, same(repeated), "left_anti").select("_row").unionByName(of_many.select("_row"))
     return stays.select("_row.*")
