@@ -188,6 +188,19 @@ def test_toxicity_edge_cases(spark):
     assert toxicity.toxicity_scores(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_candidates_come_from_all_labelled_rows(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(toxicity, "BROADCAST_LABELS", broadcast)
+    seen = []
+    counted = toxicity._candidates
+    monkeypatch.setattr(toxicity, "_candidates", lambda texts: seen.append(counted(texts)) or seen[-1])
+    head = "x" * 24
+    docs = spark.createDataFrame([(i, f"vile t{i}" + f" {head}bad" * (i < 80) if i % 2 else f"plain t{i} {head}good") for i in range(200)], "doc_id bigint, text string")
+    told = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    toxicity.fit(docs, told, sample_rows=2)
+    assert {"vile", f"{head}bad"} <= set(seen[0]) and head not in seen[0]
+
+
 def test_upper_case_counts_over_the_whole_text():
     calm, loud = "quiet words " * 200, "LOUD WORDS " * 600
     assert toxicity.patterns(calm + loud, 1600)[0] == 1  # shouting starts after 2000 characters

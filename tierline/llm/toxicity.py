@@ -6,13 +6,14 @@ label, estimates by expectation-maximisation how often each fires for either lab
 label hang together, and gives every text a posterior label. A linear classifier is trained on these
 posteriors and scores all texts.
 
-Known labels are used to find lexicon candidates, to start the label model and as a weak prior in it. They
-come from a bounded sample, SAMPLE labelled rows with the smallest hashes of their ids; votes of the sample
-are all that the driver sees. Scoring covers every text whole. Labels, ids and other columns are no inputs.
+Known labels are used to find lexicon candidates, to start the label model and as a weak prior in it.
+Candidates are counted over all labelled rows that may teach. The label model and the classifier are fitted
+on a bounded sample, SAMPLE of those rows with the smallest hashes of their ids; its votes are all that the
+driver sees. Scoring covers every text whole. Labels, ids and other columns are no inputs.
 
-Scale: one scan finds the sample, another scores; candidates are counted per batch before the shuffle, and
-the lexicon sent to tasks has at most VOTERS entries. Nothing is grouped by a document's property, so no
-group can be hot.
+Scale: a scan finds the labelled texts, another the sample, a third scores; up to BROADCAST_LABELS labels
+are sent to the texts, beyond that a shuffled join brings them together. Copies of a text and candidates are
+combined before the shuffle, so no group can be hot. The lexicon sent to tasks has at most VOTERS entries.
 
 Edge cases: NULL and empty texts have no votes and get the score of a text without any; labels that are
 NULL, other than 0 or 1, or without a document teach nothing, and of contradicting labels of one id 1 counts; without
@@ -32,9 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.support import text_or_empty, written
+from tierline.llm.support import broadcast_if_small, text_or_empty, written
 
 SAMPLE = 20_000  # labelled rows the model is fitted on, at most
+BROADCAST_LABELS = 500_000  # labels that may teach: an id and a number each
 CANDIDATES = 2048  # words and beginnings that could become lexicon voters
 VOTERS = 384  # lexicon voters, at most
 CORRELATED = 0.3  # from here on, voters of a label count as related
@@ -42,7 +44,6 @@ COVER = 3  # lexicon voters wanted for each text labelled toxic
 LEAST_TEXTS = 3  # texts with label 1 that a candidate must occur in
 LEAST_LIFT = 4.0  # times as common among label 1 as among label 0
 STEMS = (3, 4, 5, 6)  # lengths of word beginnings
-LONGEST = 24  # characters of a word that count
 HELD_OUT = 2  # remainder by 4 of the id's checksum that never teaches
 THRESHOLD = 0.3
 CACHED_WORDS = 500_000
@@ -51,7 +52,7 @@ WORD = re.compile(r"[^\W\d_]+")
 
 def units(word: str) -> set[str]:
     """What a lexicon voter can fire on: the word itself, and its beginnings (marked by a star)."""
-    return {word[:LONGEST]} | {word[:n] + "*" for n in STEMS if len(word) >= n}
+    return {word} | {word[:n] + "*" for n in STEMS if len(word) >= n}
 
 
 def patterns(text: str, words: int) -> tuple[int, ...]:
@@ -113,8 +114,8 @@ class Voters:
         return fired, hits, patterns(text, counts.total())
 
 
-def _candidates(sample: DataFrame) -> list[str]:
-    """Units that are much commoner among label 1, the most telling first."""
+def _candidates(texts: DataFrame) -> list[str]:
+    """Units that are much commoner among label 1, the most telling first. Of different (text, toxic)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,8 +130,6 @@ def _candidates(sample: DataFrame) -> list[str]:
             columns += [pa.array([of[label][name] for name in names], pa.int64()) for label in (1, 0)]
             yield pa.record_batch(columns, ["unit", "toxic", "clean"])
 
-    # copies of a text teach once
-    texts = sample.select("text", "toxic").distinct()
     totals = texts.agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("all")).first()
     toxic, clean = totals["toxic"] or 0, (totals["all"] or 0) - (totals["toxic"] or 0)
     if not (toxic and clean):
@@ -261,10 +260,13 @@ def fit(
     """A model from labels (doc_id, toxic) of documents that are not held out."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
     one_each = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("bigint").alias("toxic"))
+    one_each = written(one_each, "toxicity-labels")
     ids = written(one_each.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows), "toxicity-ids")
     texts = docs.select(F.col(doc_id).alias("_id"), text_or_empty(text).alias("text"))
+    few = broadcast_if_small(one_each, BROADCAST_LABELS)
+    labelled = texts.join(one_each if few is None else few, "_id").select("text", "toxic")
+    candidates = _candidates(written(labelled.distinct(), "toxicity-texts"))  # copies of a text teach once
     sample = written(texts.join(F.broadcast(ids), "_id").select("text", "toxic"), "toxicity-sample")
-    candidates = _candidates(sample)
     if not candidates:
         known = sample.agg(F.avg("toxic")).first()[0] or 0.0
         share = min(max(float(known), 1e-12), 1 - 1e-12)
