@@ -270,6 +270,21 @@ def test_suffix_dedup_gives_bytes_and_spans(docs, empty):
     assert suffix_dedup.without_repeats(empty).count() == 0
 
 
+def test_spans_of_copies_are_gathered_once(spark):
+    chance = random.Random(8)
+    text = "".join(chance.choice("abcde fgh") for _ in range(900))
+    rows = [(None, text)] * 40 + [(1, text)] * 40 + [(2, text[100:500])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    cleaned = suffix_dedup.without_repeats(frame)
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [row_id" in plan and "start" in [
+        key.split("#")[0].strip() for line in plan.splitlines() if "Aggregate [" in line and "collect" not in line
+        for key in line.split("[")[1].split("]")[0].split(",")
+    ]
+    found = [tuple(r) for r in cleaned.select("n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
+    assert sorted(found) == sorted(suffix_brute([t for _, t in rows]))
+
+
 # packing
 
 

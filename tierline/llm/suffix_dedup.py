@@ -319,7 +319,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """A row per document: doc_id, kept (the remaining bytes), removed (spans as arrays of start and end),
     n_bytes, n_removed, n_spans, kept_sha256."""
     texts = keyed_texts(docs, doc_id, text)
-    spans = repeated_spans(texts)
+    # different spans only, told before they are gathered: an array is bounded by its text, not by its copies
+    spans = repeated_spans(texts).distinct()
     per_text = spans.groupBy("row_id", "tag").agg(F.collect_list(F.struct("start", "strings")).alias("spans"))
     found = texts.join(per_text, ["row_id", "tag"], "left").select("doc_id", "text", "spans")
     kind = found.schema["doc_id"].dataType.simpleString()
