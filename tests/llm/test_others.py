@@ -72,6 +72,30 @@ def test_larger_factors_visit_less_and_production_recall_is_high():
     assert np.mean([len(set(top[q]) & set(tree.ids[tree.id_starts[rough[q]]])) for q in range(50)]) > 3
 
 
+def test_ties_go_to_the_smaller_id():
+    chance = np.random.default_rng(3)
+    points = np.column_stack([np.ones(600), chance.integers(0, 50, (600, 3))]).astype(float)  # all tie for the query
+    tree = vantage.Tree.build(chance.permutation(600), points, leaf=32)
+    found = vantage.best_of_shard(tree, np.array([1000]), np.array([[1.0, 0, 0, 0]]), 5, 1.0)
+    assert found.column("vec_id").to_pylist() == [0, 1, 2, 3, 4]
+
+
+def test_rows_of_an_id_meet_before_they_are_dealt(spark, monkeypatch):
+    sizes = []
+    build = vantage.written
+
+    def noted(frame, name):
+        sizes.append((name, frame._jdf.queryExecution().optimizedPlan().toString()))
+        return build(frame, name)
+
+    monkeypatch.setattr(vantage, "written", noted)
+    rows = [(7, [2.0, float(i)]) for i in range(50)] + [(i, [1.0, float(i)]) for i in range(8, 12)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = vantage.nearest(frame, frame.where("vec_id = 8"), 4).collect()
+    assert sorted((r["vec_id"], r["score"]) for r in found) == [(7, 2.0), (9, 73.0), (10, 81.0), (11, 89.0)]
+    assert "Aggregate" in dict(sizes)["trees"]
+
+
 def test_empty_vectors(spark):
     _, frame = vectors(spark)
     assert vantage.nearest(frame.limit(0), frame.limit(0), 5).count() == 0

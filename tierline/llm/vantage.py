@@ -178,11 +178,29 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def with_ties(tree: Tree, queries: np.ndarray, where: np.ndarray, best: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of queries whose last point kept ties with the k-th best, so that others may tie unseen: query and
+    point of the k best of all points, by exact score and smallest id."""
+    kth = np.partition(best, SPARE, axis=1)[:, SPARE]
+    room = 1e-9 * (1 + np.sqrt((queries * queries).sum(1) * tree.length[0]))
+    tied, more = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for q in np.flatnonzero((where >= 0).all(1) & (best.min(1) >= kth - room)):
+        near = np.flatnonzero(tree.points @ queries[q] >= kth[q] - room[q])
+        score = in_order_product(queries[q], tree.points[near])
+        near = near[np.lexsort((tree.ids[tree.id_starts[near]], -score))[:k]]
+        tied.append(np.full(len(near), q))
+        more.append(near)
+    return np.concatenate(tied), np.concatenate(more)
+
+
 def best_of_shard(tree: Tree, ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> pa.Table:
     """Each query's k nearest in the shard, but not itself: query_id, vec_id, score."""
-    where, _, _ = tree.search(queries, k + 1, factor)  # one more, as a query may find itself
+    where, best, _ = tree.search(queries, k + 1, factor)  # one more, as a query may find itself
     row, column = np.nonzero(where >= 0)
     point = where[row, column]
+    tied, more = with_ties(tree, queries, where, best, k + 1)
+    settled = ~np.isin(row, tied)
+    row, point = np.append(row[settled], tied), np.append(point[settled], more)
     score = in_order_product(queries[row], tree.points[point])
     start = tree.id_starts[point]
     size = np.minimum(tree.id_starts[point + 1] - start, k + 1)
@@ -224,19 +242,14 @@ def nearest(
 
     def grow(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("vec_id", "ascending")])
-        ids, rows = table.column("vec_id").to_numpy(), matrix(table.column("vector"))
-        order = np.lexsort((*rows.T[::-1], ids))
-        ids, rows = ids[order], rows[order]
-        first = np.concatenate([[True], ids[1:] != ids[:-1]])
-        tree = Tree.build(ids[first], rows[first])
+        tree = Tree.build(table.column("vec_id").to_numpy(), matrix(table.column("vector")))
         shard, width = (pa.array([part.as_py()], pa.int32()) for part in key)
         return pa.table({"shard": shard, "width": width, "tree": pa.array([tree.dump()], pa.binary())})
 
-    dealt = points.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
-        F.size("vector").alias("width"),
-        "vec_id",
-        "vector",
+    # rows of one id are combined before the shuffle, so no id fills a shard
+    single = points.groupBy("vec_id", F.size("vector").alias("width")).agg(F.min("vector").alias("vector"))
+    dealt = single.select(
+        F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), "width", "vec_id", "vector"
     )
     trees = written(dealt.groupBy("shard", "width").applyInArrow(grow, "shard int, width int, tree binary"), "trees")
 
