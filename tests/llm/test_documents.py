@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -285,6 +286,28 @@ def test_spans_of_copies_are_gathered_once(spark):
     assert sorted(found) == sorted(suffix_brute([t for _, t in rows]))
 
 
+def test_long_texts_are_cut_into_slices(spark, monkeypatch, tmp_path):
+    chance = random.Random(9)
+    base = "".join(chance.choice("abcdé gh ") for _ in range(9000))
+    rows = [(1, base), (2, "x" + base[500:8000]), (None, base[3000:]), (None, "y" + base[:2500]), (1, base[:400])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    cut = suffix_dedup.slices
+
+    def noted(starts, most):
+        for group in cut(starts, most):
+            (tmp_path / f"{most}-{group[0][1]}").touch()
+            yield group
+
+    batch = pa.record_batch([pa.array([1]), pa.array([1], pa.int32()), pa.array([base])], ["row_id", "tag", "text"])
+    monkeypatch.setattr(suffix_dedup, "slices", noted)
+    assert sum(map(len, suffix_dedup._blocks(700)([batch]))) >= sum(map(len, suffix_dedup._blocks(1 << 20)([batch])))
+    assert len(list(tmp_path.glob("700-*"))) > 10
+    monkeypatch.setattr(suffix_dedup, "slices", cut)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 700)
+    found = suffix_dedup.without_repeats(frame).select("n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, found)) == sorted(suffix_brute([t for _, t in rows]))
+
+
 # packing
 
 

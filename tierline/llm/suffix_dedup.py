@@ -112,7 +112,7 @@ def blocks_of(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> dict[str
     return {"start": start, "strings": strings, "anchor": anchor - start, "gram": gram, "block": block, "text": text}
 
 
-def slices(starts: np.ndarray, most: int = SLICE) -> Iterator[list[tuple[int, int, int]]]:
+def slices(starts: np.ndarray, most: int) -> Iterator[list[tuple[int, int, int]]]:
     """Texts between consecutive `starts` in groups of about `most` string starts: (text, first, last)
     of starts, counted within the text. A longer text is cut."""
     group: list[tuple[int, int, int]] = []
@@ -134,22 +134,25 @@ def slices(starts: np.ndarray, most: int = SLICE) -> Iterator[list[tuple[int, in
 BLOCK = "row_id bigint, tag int, start int, strings int, anchor int, gram bigint, block bigint"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        whole, starts = text_bytes(batch.column("text"))
-        for group in slices(starts):
-            pieces = [whole[starts[t] + a : starts[t] + z + LENGTH - 1] for t, a, z in group]
-            data = np.concatenate([*pieces, np.zeros(256, np.uint8)])
-            first = np.cumsum([0] + [len(piece) for piece in pieces])[:-1]
-            found = blocks_of(data, first, first + np.array([z - a for _, a, z in group]))
-            owner = np.array([t for t, _, _ in group])[found["text"]]
-            shift = np.array([a for _, a, _ in group])[found["text"]] - first[found["text"]]
-            rows = batch.select(["row_id", "tag"]).take(pa.array(owner))
-            columns = [pa.array((found["start"] + shift).astype(np.int32))]
-            columns += [pa.array(found[name].astype(np.int32)) for name in ("strings", "anchor")]
-            columns += [pa.array(found[name].view(np.int64)) for name in ("gram", "block")]
-            names = ["row_id", "tag", "start", "strings", "anchor", "gram", "block"]
-            yield pa.record_batch([*rows.columns, *columns], names)
+def _blocks(most: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole, starts = text_bytes(batch.column("text"))
+            for group in slices(starts, most):
+                pieces = [whole[starts[t] + a : starts[t] + z + LENGTH - 1] for t, a, z in group]
+                data = np.concatenate([*pieces, np.zeros(256, np.uint8)])
+                first = np.cumsum([0] + [len(piece) for piece in pieces])[:-1]
+                found = blocks_of(data, first, first + np.array([z - a for _, a, z in group]))
+                owner = np.array([t for t, _, _ in group])[found["text"]]
+                shift = np.array([a for _, a, _ in group])[found["text"]] - first[found["text"]]
+                rows = batch.select(["row_id", "tag"]).take(pa.array(owner))
+                columns = [pa.array((found["start"] + shift).astype(np.int32))]
+                columns += [pa.array(found[name].astype(np.int32)) for name in ("strings", "anchor")]
+                columns += [pa.array(found[name].view(np.int64)) for name in ("gram", "block")]
+                names = ["row_id", "tag", "start", "strings", "anchor", "gram", "block"]
+                yield pa.record_batch([*rows.columns, *columns], names)
+
+    return cut
 
 
 def bucketed(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -230,21 +233,25 @@ def _spans(table: pa.Table, row: np.ndarray, number: np.ndarray) -> Iterator[pa.
     yield from out.to_batches()
 
 
-def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _refine(most_bytes: int):
     """Spans of strings that occur in several blocks of their bucket, which comes whole."""
-    for table in sorted_runs(batches, ["gram"]):
-        for part in parts_of(table):
-            row, number, ids = string_ids(part)
-            ordered = np.sort(ids)
-            repeated = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-            if len(repeated) == 0:
-                continue
-            at = np.searchsorted(repeated, ids).clip(max=len(repeated) - 1)
-            again = repeated[at] == ids
-            yield from _spans(part, row[again], number[again])
+
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_runs(batches, ["gram"]):
+            for part in parts_of(table, most_bytes):
+                row, number, ids = string_ids(part)
+                ordered = np.sort(ids)
+                repeated = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+                if len(repeated) == 0:
+                    continue
+                at = np.searchsorted(repeated, ids).clip(max=len(repeated) - 1)
+                again = repeated[at] == ids
+                yield from _spans(part, row[again], number[again])
+
+    return refine
 
 
-def parts_of(table: pa.Table, most_bytes: int = SLICE) -> Iterator[pa.Table]:
+def parts_of(table: pa.Table, most_bytes: int) -> Iterator[pa.Table]:
     """Whole buckets, about `most_bytes` at a time."""
     starts = run_starts([table.column("gram").combine_chunks()])
     total = np.cumsum(table.column("strings").to_numpy().astype(np.int64) + LENGTH)
@@ -279,7 +286,7 @@ def keyed_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """Spans of repeated strings in keyed texts: row_id, tag, start, strings. Spans may touch and overlap."""
     long = texts.where(F.octet_length("text") >= LENGTH).select("row_id", "tag", "text")
-    spans, asks = bucketed(written(long.mapInArrow(_blocks, BLOCK), "blocks"))
+    spans, asks = bucketed(written(long.mapInArrow(_blocks(SLICE), BLOCK), "blocks"))
     asked = asks.groupBy("row_id", "tag").agg(
         F.collect_set(F.struct("start", "strings", "anchor", "gram")).alias("asked")
     )
@@ -301,7 +308,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         singles = strings.join(again, "id", "left_semi").select("row_id", "tag", "start", F.lit(1).alias("strings"))
         spans = spans.unionByName(singles)
     in_order = few.repartition("gram").sortWithinPartitions("gram")
-    spans = spans.unionByName(in_order.mapInArrow(_refine, SPAN))
+    spans = spans.unionByName(in_order.mapInArrow(_refine(SLICE), SPAN))
     return spans
 
 
