@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from tierline.llm.chosen_path import near_classes
 from tierline.llm.exact_dedup import exact_groups
 from tierline.llm.mixing import mixed_sizes
+from tierline.llm.merkle import digest, folded, manifest, siblings
+from tierline.llm.multi_index import near_vectors
 from tierline.llm.packing import pack
 from tierline.llm.preference import TRAINED_ROLE, format_preferences
 from tierline.llm.suffix_dedup import without_repeats
 from tierline.llm.toxicity import THRESHOLD, fit, is_held_out, toxicity_scores
 from tierline.llm.token_counts import LIMIT, token_counts
+from tierline.llm.turn_repair import damaged, repaired
 from tierline.llm.url_filter import judge_urls
 from tierline.llm.vantage import nearest
 
@@ -114,6 +117,34 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    text = F.col("text")
+    hit = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & text.contains("\n")
+    altered = F.when(hit, digest(*fields, F.replace(text, F.lit("\n"), F.lit("")))).alias("altered")
+    found = manifest(docs.select("doc_id", "source", digest(*fields, text).alias("leaf"), altered))
+    again = found.withColumn("folded_root", folded(F.coalesce("altered", "leaf"), F.col("proof")))
+    return again.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repaired(damaged(turns), turns)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -127,5 +158,8 @@ QUERIES: dict[str, Query] = {
         op8_suffix_dedup,
         op9_toxicity,
         op10_token_counts,
+        op11_merkle_manifest,
+        op12_multi_index,
+        op13_turn_repair,
     )
 }

@@ -1,4 +1,4 @@
-"""What several of the operators need: a shared folder, cut lineage, checked broadcasts, row groups."""
+"""What several of the operators need: a shared folder, cut lineage, checked broadcasts, row groups, row numbers."""
 
 import tempfile
 from collections.abc import Iterable, Iterator
@@ -6,7 +6,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierline.sources.files import remove_at_exit
@@ -106,3 +106,34 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint8), starts - starts[0]
     whole = np.frombuffer(data, np.uint8)
     return whole[starts[0] : starts[-1]], starts - starts[0]
+
+
+def numbered(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """`df` with `place`, a row's number from 0 within its group in the order of `order`, and `size`, the
+    rows of its group.
+
+    Rows are sorted by ranges of group and order and written; a row's number is its place in its task's
+    part of the group after the rows of earlier parts. So a group of any size is spread over many tasks,
+    and so are rows equal in every column, whose order is arbitrary. `df` is read twice (for the ranges,
+    then to be sorted) and must give the same rows in the same order both times, as a written table does.
+    """
+    keys = [*groups, *order, "_tie"]
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys)
+    rows = ranged.sortWithinPartitions(*keys).drop("_tie")
+    rows = written(rows.withColumn("_part", F.spark_partition_id()).withColumn("_at", inside), name)
+    # a row per group and task
+    parts = rows.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("rows"), F.min("_at").alias("first"))
+    group = Window.partitionBy(*groups)
+    before = F.sum("rows").over(group.orderBy("_part")) - F.col("rows")
+    parts = parts.select(
+        *[F.col(key).alias(f"_{key}") for key in groups],
+        F.col("_part").alias("_of"),
+        (before - F.col("first")).alias("shift"),
+        F.sum("rows").over(group).alias("size"),
+    )
+    same = F.col("_part") == F.col("_of")
+    for key in groups:
+        same &= F.col(key).eqNullSafe(F.col(f"_{key}"))
+    joined = rows.join(parts, same)
+    return joined.select(*df.columns, (F.col("_at") + F.col("shift")).alias("place"), "size")
