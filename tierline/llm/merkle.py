@@ -3,8 +3,8 @@
 Slot pivot: a node's parent is its place divided by the fanout. Conditional aggregates spread each
 parent's children into one column per slot; the columns' digests, concatenated, are hashed to the parent's.
 Going back down, a child's siblings are the slot columns without its own. A band of levels is built
-under one exchange: rows are dealt by the band's top node, and a parent keeps its children's structs in its
-slots, so the way down opens the structs again and joins once a band, not once a level.
+under one exchange: rows are dealt by the band's top node, and a parent keeps its children in its
+slots, so the way down opens them again and joins once a band, not once a level.
 
 Scale: only ids and digests move, never texts. A group of any size is numbered over many tasks, and the
 nodes under a band's top are at most fanout ** depth, so no task's share depends on how large a group is.
@@ -34,8 +34,8 @@ def digest(*values: Column) -> Column:
 
 
 def _band(nodes: DataFrame, fanout: int, depth: int) -> DataFrame:
-    """The nodes `depth` levels higher: tree, place, size (nodes of the tree at that level) and node, a
-    struct of hash, single (the tree had one node below, which is this one) and a slot per child."""
+    """The nodes `depth` levels higher: tree, place, size (nodes of the tree at that level) and node, a struct
+    of hash, single (the tree had one node below, which is this one) and slots, the child of each slot."""
     level = nodes.withColumn("block", F.expr(f"place div {fanout**depth}")).repartition("tree", "block")
     for _ in range(depth):
         slots = [
@@ -54,7 +54,7 @@ def _band(nodes: DataFrame, fanout: int, depth: int) -> DataFrame:
             F.struct(
                 F.when(single, F.col("s0.hash")).otherwise(F.sha2(joined, 256)).alias("hash"),
                 single.alias("single"),
-                *[F.col(f"s{i}") for i in range(fanout)],
+                F.array(*[f"s{i}" for i in range(fanout)]).alias("slots"),
             ).alias("node"),
         )
     return level.drop("block")
@@ -76,11 +76,11 @@ def _opened(band: DataFrame, tops: DataFrame, fanout: int, depth: int) -> DataFr
     known = [name for name in tops.columns if name not in ("tree", "place", "proof")]
     level = _with_tops(band, tops)
     for _ in range(depth):
-        children = F.array(*[F.col(f"node.s{i}") for i in range(fanout)])
-        each = level.select("*", F.posexplode(children).alias("slot", "child")).where("child is not null")
+        each = level.select("*", F.posexplode("node.slots").alias("slot", "child")).where("child is not null")
+        others = [F.col("node.slots")[i]["hash"] for i in range(fanout)]
         sides = {
-            "left": [F.when(F.col("slot") > i, F.col(f"node.s{i}.hash")) for i in range(fanout)],
-            "right": [F.when(F.col("slot") < i, F.col(f"node.s{i}.hash")) for i in range(fanout)],
+            "left": [F.when(F.col("slot") > i, other) for i, other in enumerate(others)],
+            "right": [F.when(F.col("slot") < i, other) for i, other in enumerate(others)],
         }
         step = F.struct(*[F.concat_ws("", *side).alias(name) for name, side in sides.items()])
         level = each.select(
