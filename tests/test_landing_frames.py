@@ -1,0 +1,152 @@
+"""Landing as frames: footers in tasks, names that stay in Spark, stores that workers can't open, empty entries."""
+
+import datetime
+import decimal
+import random
+from pathlib import Path
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from conftest import X, Y, land, land_table, values
+from test_whole_input import jobs, longs, parts
+
+from tierline import build, ingest
+from tierline.operators.reconcile import unread
+from tierline.plans.verify import verify_bronze
+from tierline.sources import landing
+from tierline.sources.footers import with_footers, workers_reach
+from tierline.sources.landing import landed_parts, landing_counts, merged_by_trial, scanned_counts, schema_groups
+
+TYPES = {
+    "i32": pa.array([1], pa.int32()), "i64": pa.array([1], pa.int64()), "i8": pa.array([1], pa.int8()),
+    "i16": pa.array([1], pa.int16()), "u8": pa.array([1], pa.uint8()), "u16": pa.array([1], pa.uint16()),
+    "u32": pa.array([1], pa.uint32()), "u64": pa.array([1], pa.uint64()), "f": pa.array([1], pa.float32()),
+    "d": pa.array([1.5]), "b": pa.array([True]), "s": pa.array(["x"]), "y": pa.array([b"x"]),
+    "day": pa.array([datetime.date(2020, 1, 1)]), "dec": pa.array([decimal.Decimal("1.25")]),
+    "ms": pa.array([1], pa.timestamp("ms")), "us": pa.array([1], pa.timestamp("us")),
+    "utc": pa.array([1], pa.timestamp("us", tz="UTC")), "cat": pa.array(["x"]).dictionary_encode(),
+    "fixed": pa.array([b"ab"], pa.binary(2)),
+}
+
+
+def shown(groups) -> list:
+    return sorted((sorted(names), sorted((f.name.lower(), f.dataType.simpleString()) for f in schema)) for names, schema in groups)
+
+
+def test_types_of_flat_columns_are_those_spark_infers(layers):
+    spark = layers.spark
+    land_table(layers, "x", "x_2020-01.parquet", pa.table(TYPES))
+    files = landed_parts(spark, layers.landing("x"))
+    schema = with_footers(files).first()["schema"]
+    found = landing.T.StructType.fromJson(landing.json.loads(schema))
+    wanted = spark.read.parquet(f"{layers.landing('x')}/x_2020-01.parquet").schema
+    assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in wanted]
+
+
+@pytest.mark.parametrize("column", [pa.array([[1]]), pa.array([{"a": 1}]), pa.array([1], pa.timestamp("ms"))])
+def test_types_only_spark_knows_are_left_to_it(layers, column):
+    land_table(layers, "x", "x_2020-01.parquet", longs(1).append_column("more", column))
+    land_table(layers, "x", "x_2020-02.parquet", longs(2))
+    assert ingest(layers, X).rows == 2
+    assert values(layers.bronze("x").read(), "entity_code") == [(1,), (2,)]
+
+
+def test_groups_equal_those_of_trials(layers):
+    chance, spark = random.Random(3), layers.spark
+    for month in range(1, 13):
+        columns = {"Entity_Code" if chance.random() < 0.5 else "entity_code": pa.array([1], chance.choice([pa.int32(), pa.int64()]))}
+        columns |= {"fee": pa.array([0.5])} if chance.random() < 0.5 else {}
+        land_table(layers, "x", f"x_2020-{month:02}.parquet", pa.table(columns))
+    parts(layers, "x_2021-01.parquet", longs(1), pa.table({"entity_code": pa.array([2], pa.int32())}))
+    groups = schema_groups(spark, layers.landing("x"), landed_parts(spark, layers.landing("x")))
+    assert len(groups) == 2  # one per type of the entity, whatever else differs
+    names = sorted(name for members, _ in groups for name in members)
+    assert names == sorted([f"x_2020-{m:02}.parquet" for m in range(1, 13)] + [f"x_2021-01.parquet/part-{i}.parquet" for i in range(2)])
+    trial = merged_by_trial(spark, layers.landing("x"), [n for n in names if "/" not in n])
+    assert {f.dataType for _, schema in trial for f in schema} == {f.dataType for _, schema in groups for f in schema}
+
+
+def test_jobs_do_not_follow_the_number_of_type_changes(layers):
+    found = set()
+    for feed, kinds in ((X, [pa.int32(), pa.int64()] * 2), (Y, [pa.int32(), pa.int64()] * 12)):
+        for month, kind in enumerate(kinds):
+            land_table(layers, feed.name, f"{feed.name}_{2000 + month // 12}-{month % 12 + 1:02}.parquet", pa.table({"entity_code": pa.array([1], kind)}))
+        found.add(jobs(layers.spark, lambda feed=feed: ingest(layers, feed)))
+    assert len(found) == 1 and layers.bronze("y").read().count() == 24
+
+
+def test_stores_that_workers_cannot_open_give_the_same(layers, monkeypatch):
+    land(layers, X, "x_2020-01 é+%41.parquet", [1.0, 2.0])
+    land(layers, X, "x_2020-02.parquet", [])
+    parts(layers, "x_2020-03.parquet", longs(1), longs(2, 3))
+    spark, directory = layers.spark, layers.landing("x")
+    footers = values(landing_counts(spark, {"x": directory}))
+    assert [row[2] for row in footers] == [2, 0, 3]
+    scan = scanned_counts(spark, directory, landed_parts(spark, directory))
+    assert sorted((row["source_file"], row["n"]) for row in scan.groupBy("source_file").agg(landing.F.sum("n").alias("n")).collect()) == [
+        row[1:] for row in footers
+    ]
+    monkeypatch.setattr(landing, "workers_reach", lambda *_: False)
+    assert values(landing_counts(spark, {"x": directory})) == footers
+    assert ingest(layers, X).rows == 5
+    verify_bronze(layers, [X])
+
+
+def test_whether_workers_reach_a_store_is_tried(layers, monkeypatch):
+    assert workers_reach(layers.spark, layers.landing("x"))
+    monkeypatch.setattr("tierline.sources.footers.scheme", lambda *_: "nosuch")
+    monkeypatch.setattr("tierline.sources.footers.store_of", lambda *_: "nosuch://store/")
+    assert not workers_reach(layers.spark, "nosuch://store/x")
+
+
+def test_entries_without_rows_are_not_read_or_written(layers):
+    land(layers, X, "x_2020-01.parquet", [])
+    wrote = []
+    original = type(layers.bronze("x")).append
+    for _ in range(2):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(type(layers.bronze("x")), "append", lambda *a, **k: wrote.append(1) or original(*a, **k))
+            assert ingest(layers, X) is None
+    assert wrote == [] and not Path(layers.bronze("x").path).exists()
+    verify_bronze(layers, [X])
+    land(layers, X, "x_2020-02.parquet", [1.0])
+    build(layers, [X])
+    assert ingest(layers, X) is None and layers.bronze("x").versions() == [0]
+    assert values(landing_counts(layers.spark, {"x": layers.landing("x")})) == [("x", "x_2020-01.parquet", 0), ("x", "x_2020-02.parquet", 1)]
+
+
+def test_a_directory_entry_with_an_empty_part(layers):
+    parts(layers, "x_2020-01.parquet", longs(), pa.table({"entity_code": pa.array([7], pa.int32())}))
+    assert ingest(layers, X).rows == 1
+    verify_bronze(layers, [X])
+
+
+def test_a_directory_without_files_has_not_landed(layers):
+    Path(f"{layers.landing('x')}/x_2020-01.parquet").mkdir(parents=True)
+    assert values(landed_parts(layers.spark, layers.landing("x"))) == [] and ingest(layers, X) is None
+
+
+def test_a_hundred_thousand_names_meet_in_spark(spark):
+    """Only what is new comes to the driver."""
+    name = landing.F.format_string("x_%06d-01.parquet", "id").alias("source_file")
+    landed, ingested = spark.range(100_003).select(name), spark.range(100_000).select(name)
+    new = unread(landed, ingested)
+    assert [row[0] for row in new.orderBy("source_file").collect()] == [f"x_{i}-01.parquet" for i in range(100_000, 100_003)]
+
+
+def test_many_landed_files_and_one_new(layers):
+    one = pa.table({"entity_code": pa.array([1], pa.int64())})
+    directory = Path(layers.landing("x"))
+    directory.mkdir(parents=True)
+    for i in range(400):
+        pq.write_table(one, directory / f"x_{2000 + i // 12}-{i % 12 + 1:02}.parquet")
+    assert ingest(layers, X).rows == 400
+    land_table(layers, "x", "x_2090-01.parquet", longs(1, 2))
+    batches = []
+    with pytest.MonkeyPatch.context() as patch:
+        original = landing.schema_groups
+        patch.setattr(landing, "schema_groups", lambda *a: batches.append(original(*a)) or batches[-1])
+        assert ingest(layers, X).rows == 2
+    assert [names for names, _ in batches[0]] == [["x_2090-01.parquet"]]  # all names the driver got
+    verify_bronze(layers, [X])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierline import Layers, build
 from tierline.operators.conform import to_gold, to_silver
 from tierline.plans import exploration, questions, verify
-from tierline.sources.landing import landing_counts, read_new_files
+from tierline.sources.landing import landed_parts, landing_counts, read_new_files, scanned_counts
 
 
 def plan(df) -> str:
@@ -81,19 +81,27 @@ def test_table_counts_come_from_footers(built):
         assert set(line(plan(counts), "PushedAggregation")) == {"[COUNT(*)]"}
 
 
+def scanned(layers, feed):
+    return scanned_counts(layers.spark, layers.landing(feed), landed_parts(layers.spark, layers.landing(feed)))
+
+
 def test_other_counts_read_no_column(built):
-    for counts in (
-        landing_counts(built.spark, {"x": built.landing("x")}),
-        exploration.month_coverage(built.gold.read()),
-    ):
-        assert set(line(plan(counts), "ReadSchema")) == {"struct<>"}
+    assert set(line(plan(exploration.month_coverage(built.gold.read())), "ReadSchema")) == {"struct<>"}
+    assert "ReadSchema: struct<>" in plan(scanned(built, "x"))
 
 
 def test_landed_rows_are_counted_by_number_and_named_per_file(built):
-    text = plan(landing_counts(built.spark, {"x": built.landing("x"), "y": built.landing("y")}))
+    text = plan(scanned(built, "x"))
     assert "Scan parquet" in text and "Scan binaryFile" in text
-    keys = [part for part in line(text, "Keys [2]") if " file#" in part]
-    assert keys and all(re.search(r" file#\d+L", part) for part in keys)  # a bigint, not a path
+    keys = [part for part in line(text, "Keys [1]") if "file#" in part]
+    assert keys and all(re.search(r"file#\d+L", part) for part in keys)  # a bigint, not a path
+
+
+def test_landed_counts_read_footers_and_no_row(built):
+    counts = landing_counts(built.spark, {"x": built.landing("x"), "y": built.landing("y")})
+    text = plan(counts)
+    assert "Scan parquet" not in text and "Scan binaryFile" in text and "content" not in text
+    assert text.count("Exchange hashpartitioning") <= 2  # named in the tree and in its details: one for all feeds
 
 
 def test_hot_month_is_written_by_many_tasks(spark, tmp_path):

@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from tierline.functions.expressions import month_index, month_of_index
 
 
+def unread(landed: DataFrame, ingested: DataFrame) -> DataFrame:
+    """Landed rows of names that are not ingested yet. Identity is the name; content is not compared."""
+    return landed.join(ingested, "source_file", "left_anti")
+
+
 def new_files(landed: DataFrame, ingested: DataFrame) -> DataFrame:
-    """Landed names not ingested yet, sorted. Identity is the name; content is not compared."""
-    return landed.join(ingested, "source_file", "left_anti").orderBy("source_file")
+    """Landed names not ingested yet, sorted."""
+    return unread(landed, ingested).orderBy("source_file")
 
 
 def reconcile_left(

@@ -10,41 +10,41 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 
 from tierline.operators.conform import conform_to_table, to_gold, to_silver
-from tierline.operators.reconcile import new_files
+from tierline.operators.reconcile import unread
 from tierline.plans.catalog import create_tables
 from tierline.plans.layers import Layers
 from tierline.plans.verify import verify_bronze, verify_gold, verify_silver
 from tierline.schema import FeedSpec
-from tierline.sources.landing import landed_names, name_frame, read_new_files
+from tierline.sources.landing import landed_parts, read_parts
 from tierline.sources.versioned import Commit, VersionedTable
 
 
 def ingested_files(bronze: VersionedTable) -> DataFrame:
     """Names of the files bronze holds rows of; none before its first commit.
 
-    Bronze is partitioned by source_file, so directory names tell it without a scan.
+    Bronze is partitioned by source_file, so a listing tells it without a scan.
     """
-    return name_frame(bronze.spark, bronze.leading_partition_values())
+    return bronze.listed_partitions(bronze.partitions[0])
 
 
-def ingest(layers: Layers, feed: FeedSpec, listed: list[str] | None = None) -> Commit | None:
+def ingest(layers: Layers, feed: FeedSpec, listed: DataFrame | None = None) -> Commit | None:
     """Append every landed file not yet in the feed's bronze table, as one commit.
 
-    `listed` are the landed names, if they were listed before.
+    `listed` are the landed files (`landed_parts`), if they were listed before. Landed and ingested names meet
+    in Spark; the driver gets the names that are to be read. Files without rows are not read, so a batch of
+    nothing else writes nothing.
     """
     landing, bronze = layers.landing(feed.name), layers.bronze(feed.name)
     if listed is None:
-        listed = landed_names(layers.spark, landing)
-    new = new_files(name_frame(layers.spark, listed), ingested_files(bronze))
-    names = [row["source_file"] for row in new.collect()]
-    if not names:
+        listed = landed_parts(layers.spark, landing)
+    batch = read_parts(layers.spark, landing, unread(listed, ingested_files(bronze)))
+    if batch is None:
         return None
-    batch = read_new_files(layers.spark, landing, names)
     return bronze.append(conform_to_table(batch, bronze.schema()), f"ingest {feed.name}")
 
 
 def ingest_all(
-    layers: Layers, feeds: Iterable[FeedSpec], listed: Mapping[str, list[str]] | None = None
+    layers: Layers, feeds: Iterable[FeedSpec], listed: Mapping[str, DataFrame] | None = None
 ) -> list[Commit]:
     """Ingest every feed. Their tables are independent, so one feed's jobs fill the slots that
     another's listing, schema reading and last tasks leave idle."""
@@ -96,7 +96,7 @@ def build(
     """
     feeds = list(feeds)
     report = [] if report is None else report
-    listed = {feed.name: landed_names(layers.spark, layers.landing(feed.name)) for feed in feeds}
+    listed = {feed.name: landed_parts(layers.spark, layers.landing(feed.name)) for feed in feeds}
     report += ingest_all(layers, feeds, listed)
     verify_bronze(layers, feeds, listed)
     report += conform(layers, feeds)

@@ -2,7 +2,7 @@
 
 The `*_mismatches` functions return the disagreeing keys as a frame; the `verify_*` gates raise on
 any. Counts of the tables are by all their partition columns, in a session where Spark takes them from
-Parquet footers. Landed files have no partition columns; their rows are counted one by one, but unread.
+Parquet footers. Landed files have no partition columns; tasks read their footers, a row per file.
 """
 
 from collections.abc import Iterable, Mapping
@@ -52,11 +52,11 @@ def feed_totals(table: VersionedTable, alias: str = "rows") -> DataFrame:
 
 
 def bronze_mismatches(
-    layers: Layers, feeds: Iterable[FeedSpec], listed: Mapping[str, list[str]] | None = None
+    layers: Layers, feeds: Iterable[FeedSpec], listed: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
     """Landed files whose rows are not all in bronze. Bronze-only files are not looked at.
 
-    `listed` has the entries to check by feed, if they were listed before.
+    `listed` has the landed files to check by feed, if they were listed before.
     """
     feeds = list(feeds)
     places = {feed.name: layers.landing(feed.name) for feed in feeds}
@@ -82,7 +82,7 @@ def gold_mismatches(layers: Layers) -> DataFrame:
 
 
 def verify_bronze(
-    layers: Layers, feeds: Iterable[FeedSpec], listed: Mapping[str, list[str]] | None = None
+    layers: Layers, feeds: Iterable[FeedSpec], listed: Mapping[str, DataFrame] | None = None
 ) -> None:
     _require_none(bronze_mismatches(layers, feeds, listed), "landed files and bronze")
 

@@ -34,6 +34,16 @@ def child_names(spark: SparkSession, directory: str) -> list[str]:
     return names
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, target = _resolve(spark, path)
+    return bool(file_system.exists(target))
+
+
+def store_of(spark: SparkSession, path: str) -> str:
+    """The root of the file system that holds `path`, as a URI."""
+    return str(_resolve(spark, path)[0].getUri().toString()).rstrip("/") + "/"
+
+
 def scheme(spark: SparkSession, path: str) -> str:
     """The scheme of the file system that holds `path`."""
     return str(_resolve(spark, path)[0].getUri().getScheme())

@@ -5,17 +5,20 @@ Parquet file or a directory of part files (how Spark itself writes a big one). I
 `source_file` of every row in it.
 """
 
+import json
 from collections.abc import Mapping
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.sources.files import child_names, reported_paths
+from tierline.sources.files import child_names, exists, reported_paths
+from tierline.sources.footers import with_footers, workers_reach
 
 MAX_LENGTH = 2**31 - 1  # "to the end" for substring
 UNMERGEABLE = "CANNOT_MERGE_SCHEMAS"  # condition of the error for types that have no common one
@@ -26,14 +29,27 @@ def name_frame(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame(pa.table({"source_file": pa.array(names, pa.string())}))
 
 
-def landed_names(spark: SparkSession, landing_dir: str) -> list[str]:
-    """Names of the Parquet entries in a landing directory, sorted; none if it does not exist."""
-    return [name for name in child_names(spark, landing_dir) if name.endswith(".parquet")]
+def landed_parts(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """Every landed Parquet file: path, length and source_file, the entry it belongs to.
+
+    Spark lists the directory (in tasks, if it is a large one) when this is called; the names stay in Spark.
+    Later use of the frame sees the same listing. A directory is an entry once it holds a file.
+    """
+    if not exists(spark, landing_dir):
+        return spark.createDataFrame([], "path string, length bigint, source_file string")
+    found = (
+        spark.read.format("binaryFile")  # a row per file; contents are read only if asked for
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(landing_dir)
+    )
+    entry = entry_name(spark, F.col("_metadata.file_path"), landing_dir).alias("source_file")
+    return found.select("path", "length", entry).where(F.col("source_file").endswith(".parquet"))
 
 
 def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """The same as a frame."""
-    return name_frame(spark, landed_names(spark, landing_dir))
+    """Names of the Parquet entries in a landing directory; none if it does not exist."""
+    return landed_parts(spark, landing_dir).select("source_file").distinct()
 
 
 def entry_name(
@@ -73,10 +89,78 @@ def read_clean(
     return tagged.toDF(*[name.lower() for name in tagged.columns])
 
 
-def merged_schemas(
-    spark: SparkSession, landing_dir: str, names: list[str]
-) -> list[tuple[list[str], T.StructType]]:
-    """The entries in groups whose files' schemas merge, each with its merged schema.
+Groups = list[tuple[list[str], T.StructType]]
+
+
+def schema_groups(spark: SparkSession, landing_dir: str, parts: DataFrame) -> Groups:
+    """The landed files in groups that one scan can read, each with its merged schema. Files without rows are
+    left out.
+
+    Footers are read once, in tasks. The driver gets each distinct schema, and the names to be read: an
+    entry whose files agree by its own name, one whose parts differ by theirs.
+    """
+    if not workers_reach(spark, landing_dir):
+        names = parts.select("source_file").distinct().orderBy("source_file").toArrow()
+        return merged_by_trial(spark, landing_dir, names.column("source_file").to_pylist()) if len(names) else []
+    shape = F.coalesce(F.xxhash64("schema"), F.lit(0)).alias("shape")
+    read = with_footers(parts).select("source_file", "path", "n", "schema", shape).persist()
+    try:
+        per_entry = read.groupBy("source_file").agg(
+            F.sum("n").alias("rows"),
+            F.min("shape").alias("shape"),
+            F.max("shape").alias("other"),
+            F.min("path").alias("path"),
+        )
+        entries = per_entry.where("rows > 0").toArrow().sort_by("source_file")
+        same = pc.equal(entries.column("shape"), entries.column("other"))
+        found = [entries.filter(same).select(["source_file", "shape", "path"])]
+        if not pc.all(same).as_py():  # parts are named below their entry
+            mixed = per_entry.where("rows > 0 and shape <> other").select("source_file")
+            name = F.concat_ws("/", "source_file", F.substring_index("path", "/", -1)).alias("source_file")
+            part = read.where("n > 0").join(mixed, "source_file").select(name, "shape", "path")
+            found.append(part.toArrow().sort_by("source_file"))
+        wanted = pa.concat_tables([one.cast(found[0].schema) for one in found])
+        names, shapes, paths = (wanted.column(i).to_pylist() for i in range(3))
+        examples = dict(zip(shapes, paths, strict=True))  # a file of each schema
+        rows = read.where(F.col("path").isin(list(examples.values()))).select("shape", "schema").collect()
+        known = {row["shape"]: row["schema"] for row in rows}
+    finally:
+        read.unpersist()
+    by_shape: dict[int, list[str]] = {}
+    for name, number in zip(names, shapes, strict=True):
+        by_shape.setdefault(number, []).append(name)
+    groups: list[tuple[list[str], dict[str, T.StructField]]] = []
+    for number, members in by_shape.items():
+        if known[number] is None:  # a type that only Spark knows; such files may differ among themselves
+            return merged_by_trial(spark, landing_dir, names)
+        fields = {field.name.lower(): field for field in T.StructType.fromJson(json.loads(known[number]))}
+        _join_group(groups, members, fields)
+    return [(members, T.StructType(list(fields.values()))) for members, fields in groups]
+
+
+def _join_group(
+    groups: list[tuple[list[str], dict[str, T.StructField]]], names: list[str], fields: dict[str, T.StructField]
+) -> None:
+    """Add files to the first group whose shared columns have their types, or open a new one."""
+    for members, merged in groups:
+        if all(merged[name].dataType == field.dataType for name, field in fields.items() if name in merged):
+            members.extend(names)
+            merged.update({name: field for name, field in fields.items() if name not in merged})
+            return
+    groups.append((list(names), dict(fields)))
+
+
+def merged_schemas(spark: SparkSession, landing_dir: str, names: list[str]) -> Groups:
+    """The named entries in groups that one scan can read, each with its merged schema."""
+    return schema_groups(spark, landing_dir, _named_parts(spark, landing_dir, names))
+
+
+def _named_parts(spark: SparkSession, landing_dir: str, names: list[str]) -> DataFrame:
+    return landed_parts(spark, landing_dir).join(name_frame(spark, names), "source_file", "left_semi")
+
+
+def merged_by_trial(spark: SparkSession, landing_dir: str, names: list[str]) -> Groups:
+    """The same for stores that Python workers can't open, and types that only Spark knows.
 
     Spark reads the footers of a group, every part of its directories included, in one job. A group with
     types that do not merge (integers of different width, say) is halved and tried again, so the jobs
@@ -94,72 +178,73 @@ def merged_schemas(
                 raise
             names = [f"{names[0]}/{file}" for file in files]  # a directory whose parts differ
     half = len(names) // 2
-    return merged_schemas(spark, landing_dir, names[:half]) + merged_schemas(spark, landing_dir, names[half:])
+    return merged_by_trial(spark, landing_dir, names[:half]) + merged_by_trial(spark, landing_dir, names[half:])
 
 
-def read_new_files(spark: SparkSession, landing_dir: str, names: list[str]) -> DataFrame:
-    """Union the named entries by column name; absent columns become NULL, types are widened.
+def read_parts(spark: SparkSession, landing_dir: str, parts: DataFrame) -> DataFrame | None:
+    """Union the files by column name; absent columns become NULL, types are widened. None without any row.
 
-    Entries whose schemas merge are one scan, and groups that turn out to have equal schemas are put
-    together again, so the plan has a scan per distinct set of types, not one per file.
+    The plan has a scan per distinct set of types, not one per file.
     """
     groups: dict[frozenset[tuple[str, str]], tuple[list[str], T.StructType]] = {}
-    for part, schema in merged_schemas(spark, landing_dir, sorted(names)):
+    for names, schema in schema_groups(spark, landing_dir, parts):
         key = frozenset((field.name.lower(), field.dataType.json()) for field in schema)
-        groups.setdefault(key, ([], schema))[0].extend(part)
-    scans = [read_clean(spark, landing_dir, part, schema) for part, schema in groups.values()]
+        groups.setdefault(key, ([], schema))[0].extend(names)
+    if not groups:
+        return None
+    scans = [read_clean(spark, landing_dir, names, schema) for names, schema in groups.values()]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)
 
 
+def read_new_files(spark: SparkSession, landing_dir: str, names: list[str]) -> DataFrame | None:
+    """The same for entries by name."""
+    return read_parts(spark, landing_dir, _named_parts(spark, landing_dir, names))
+
+
 def landing_counts(
     spark: SparkSession,
     landing_dirs: Mapping[str, str],
-    listed: Mapping[str, list[str]] | None = None,
+    listed: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Rows of every landed entry of the feeds (feed -> directory), 0 for an empty entry.
 
-    `listed` are the entries to count (feed -> names), by default those there are now. Only they count:
-    other folders below a landing directory are not entries. The scans ask for no column. Rows are counted
-    by a number that stands for their file's path; names are made from a listing with a row per file.
+    `listed` are the files to count (feed -> landed_parts), by default those there are now. Counts are the
+    footers', a row per file. Other folders below a landing directory are not entries.
     """
-    if listed is None:
-        listed = {feed: landed_names(spark, path) for feed, path in landing_dirs.items()}
-    names = stack_feeds({feed: name_frame(spark, listed[feed]) for feed in landing_dirs})
-    paths = {feed: _row_files(spark, path, bool(listed[feed])) for feed, path in landing_dirs.items()}
-    per_file = stack_feeds(paths).groupBy("feed", "file").agg(F.count(F.lit(1)).alias("n"))
-    files = stack_feeds(
-        {feed: _files(spark, path, bool(listed[feed])) for feed, path in landing_dirs.items()}
-    )
-    counted = per_file.join(files, ["feed", "file"]).select("feed", "source_file", "n")
-    rows = names.join(counted, ["feed", "source_file"], "left").groupBy("feed", "source_file")
+    parts = {feed: (listed or {}).get(feed) for feed in landing_dirs}
+    parts = {feed: landed_parts(spark, landing_dirs[feed]) if df is None else df for feed, df in parts.items()}
+    counts = {}
+    for feed, files in parts.items():
+        if workers_reach(spark, landing_dirs[feed]):
+            counts[feed] = with_footers(files.select("source_file", "path")).select("source_file", "n")
+        else:
+            counts[feed] = scanned_counts(spark, landing_dirs[feed], files)
+    rows = stack_feeds(counts).groupBy("feed", "source_file")
     return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("landing_rows"))
 
 
-def _row_files(spark: SparkSession, landing_dir: str, any_entry: bool) -> DataFrame:
-    """The number of the file of every landed row."""
-    if not any_entry:
-        return spark.createDataFrame([], "file bigint")
+def scanned_counts(spark: SparkSession, landing_dir: str, files: DataFrame) -> DataFrame:
+    """Rows of every file (source_file, n), for stores that Python workers can't open.
+
+    The scan asks for no column. Rows are counted by a number that stands for their file's path; names
+    are made from the listing with a row per file.
+    """
+    path = F.xxhash64("path").alias("file")
+    names = files.select("source_file", path)
+    if not exists(spark, landing_dir):
+        return names.select("source_file", F.lit(0).cast("bigint").alias("n"))
     scan = (
         spark.read.schema(T.StructType([]))
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .parquet(landing_dir)
     )
-    return scan.select(F.xxhash64("_metadata.file_path").alias("file"))
-
-
-def _files(spark: SparkSession, landing_dir: str, any_entry: bool) -> DataFrame:
-    """Every file below a landing directory: its number and the entry it belongs to."""
-    if not any_entry:
-        return spark.createDataFrame([], "file bigint, source_file string")
-    found = (
-        spark.read.format("binaryFile")  # a row per file; contents are read only if asked for
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(landing_dir)
-    )
-    path = F.col("_metadata.file_path")
-    return found.select(F.xxhash64(path).alias("file"), entry_name(spark, path, landing_dir).alias("source_file"))
+    # the listing writes a path as it is, the scan as a URI
+    uri = F.col("_metadata.file_path")
+    plain = F.when(uri.contains("%"), F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))).otherwise(uri)
+    plain = F.regexp_replace(plain, "^file:/+", "file:/")
+    rows = scan.select(F.xxhash64(plain).alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    return names.join(rows, "file", "left").select("source_file", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def stack_feeds(frames: Mapping[str, DataFrame]) -> DataFrame:

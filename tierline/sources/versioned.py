@@ -142,16 +142,12 @@ class VersionedTable:
             return max_source_version(newest).first()["version"]
         return -1
 
-    def leading_partition_values(self) -> list[str]:
-        """Distinct values of the first partition column, read from directory names alone."""
-        prefix = f"{self.partitions[0]}="
-        found = {
-            unquote(name[len(prefix) :])
-            for version in self.versions()
-            for name in child_names(self.spark, self.version_path(version))
-            if self._is_leading(name)
-        }
-        return sorted(found)
+    def listed_partitions(self, name: str) -> DataFrame:
+        """Distinct values of a partition column, from a listing that Spark makes and keeps: nothing is read."""
+        if not self.exists():
+            return self.spark.createDataFrame([], T.StructType([T.StructField(name, T.StringType())]))
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.path)
+        return files.select(F.col(name).cast("string").alias(name)).distinct()
 
     def append(self, df: DataFrame, operation: str, version: int | None = None) -> Commit | None:
         """Publish `df` as the next version (or as `version`); None if it has no rows.
