@@ -2,7 +2,8 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.plans.layers import Layers
@@ -33,7 +34,8 @@ def create_tables(layers: Layers, feeds: Iterable[FeedSpec], prefix: str = "") -
     """
     spark = layers.spark
     for layer, comment in LAYER_COMMENTS.items():
-        spark.sql(f"create schema if not exists `{prefix}{layer}`")
+        place = quoted(f"{layers.root}/catalog/{layer}")  # nothing is stored there: the tables are external
+        spark.sql(f"create schema if not exists `{prefix}{layer}` location {place}")
         spark.sql(f"comment on schema `{prefix}{layer}` is {quoted(comment)}")
     contracts = {
         f"`{prefix}silver`.`{TABLE}`": (layers.silver, SILVER_COMMENT),
@@ -67,6 +69,18 @@ def _create(spark: SparkSession, name: str, table: VersionedTable, comment: str)
             spark.sql(f"alter table {name} alter column `{field.name}` comment {quoted(text)}")
 
 
+def described_columns(spark: SparkSession, name: str) -> DataFrame:
+    """A registered table's columns as the catalog has them: col_name, data_type, comment."""
+    described = spark.sql(f"describe table {name}")  # partition columns are listed twice
+    return described.where(~F.col("col_name").startswith("#") & (F.col("col_name") != "")).distinct()
+
+
+def described_table(spark: SparkSession, name: str) -> DataFrame:
+    """A registered table's own comment."""
+    described = spark.sql(f"describe table extended {name}").where("col_name = 'Comment'")
+    return described.select(F.col("data_type").alias("comment"))
+
+
 def _documented(field: T.StructField) -> T.StructField:
     if field.name != "source_file":
         return field

@@ -54,11 +54,12 @@ def ingest_all(
         return [commit for commit in commits if commit is not None]
 
 
-def conform(layers: Layers, feeds: Iterable[FeedSpec]) -> list[Commit]:
+def conform(layers: Layers, feeds: Iterable[FeedSpec], file_rows: int | None = None) -> list[Commit]:
     """Append each feed's new bronze versions to silver, one commit per feed.
 
     Feeds are separate tables with their own version counters, so each has its own watermark.
-    A feed that never landed is skipped.
+    A feed that never landed is skipped. With `file_rows`, these commits are laid out in ranges of period,
+    in even files of about so many rows, at the cost of a shuffle; a hot month gets several files.
     """
     silver = layers.silver
     commits = []
@@ -68,7 +69,10 @@ def conform(layers: Layers, feeds: Iterable[FeedSpec]) -> list[Commit]:
         if watermark >= ceiling:
             continue
         changes = bronze.read_inserts_since(watermark + 1, ceiling)
-        commits.append(silver.append(to_silver(changes, feed), f"conform {feed.name}"))
+        files = None
+        if file_rows is not None:
+            files = max(1, -(-bronze.recorded_rows(watermark + 1, ceiling) // file_rows))
+        commits.append(silver.append(to_silver(changes, feed), f"conform {feed.name}", files=files))
     return [commit for commit in commits if commit is not None]
 
 

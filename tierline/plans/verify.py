@@ -16,11 +16,7 @@ from tierline.plans.layers import Layers
 from tierline.schema import FeedSpec
 from tierline.session import counting_session
 from tierline.sources.landing import landing_counts, stack_feeds
-from tierline.sources.versioned import VersionedTable
-
-
-class ReconciliationError(ValueError):
-    """Two layers disagree on how many rows a key has."""
+from tierline.sources.versioned import ReconciliationError, VersionedTable
 
 
 def table_counts(table: VersionedTable) -> DataFrame:

@@ -40,9 +40,17 @@ COUNTING = {
 }
 
 
+_BESIDE: dict[str, SparkSession] = {}  # by application
+
+
 def counting_session(spark: SparkSession) -> SparkSession:
-    """A session beside `spark` for counts by partition columns; `spark` keeps its own settings."""
-    beside = spark.newSession()
-    for key, value in (REQUIRED | COUNTING).items():
-        beside.conf.set(key, value)
-    return beside
+    """A session beside `spark` for counts by partition columns; `spark` keeps its own settings.
+
+    An application has one, made when it is first asked for.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _BESIDE:
+        _BESIDE[application] = spark.newSession()
+        for key, value in (REQUIRED | COUNTING).items():
+            _BESIDE[application].conf.set(key, value)
+    return _BESIDE[application]

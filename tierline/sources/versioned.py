@@ -10,6 +10,7 @@ The rename must be atomic, as it is on HDFS and POSIX file systems; other stores
 `any_store` is set. Staging directories of failed commits stay until `remove_staging` is called.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import unquote
 from uuid import uuid4
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.expressions import max_source_version
+from tierline.session import counting_session
 from tierline.sources.files import child_names, remove, rename_new, scheme
 
 VERSION_COLUMN = "_commit_version"
@@ -39,6 +41,10 @@ ATOMIC_RENAMES = {"file", "hdfs", "viewfs"}
 SOURCE_VERSION = "_source_version"
 
 
+class ReconciliationError(ValueError):
+    """Two sides disagree on how many rows there are."""
+
+
 @dataclass(frozen=True)
 class Commit:
     """What one append added."""
@@ -149,11 +155,22 @@ class VersionedTable:
         files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.path)
         return files.select(F.col(name).cast("string").alias(name)).distinct()
 
-    def append(self, df: DataFrame, operation: str, version: int | None = None) -> Commit | None:
+    def append(
+        self,
+        df: DataFrame,
+        operation: str,
+        version: int | None = None,
+        files: int | None = None,
+        expected: Callable[[], int] | None = None,
+    ) -> Commit | None:
         """Publish `df` as the next version (or as `version`); None if it has no rows.
 
         Partition values are expected to be constant within an input file, so rows are written
         where they are read: no shuffle, and a hot partition is spread over all its input splits.
+
+        With `files`, this commit is laid out in so many files of about equal size instead, each a range of
+        `order`: one shuffle, after which few files hold any one period. A hot period spans several files.
+        With `expected`, the rows that the written files' footers tell must be as many, or nothing is published.
         """
         if not self.any_store and (store := scheme(self.spark, self.path)) not in ATOMIC_RENAMES:
             raise ValueError(
@@ -165,6 +182,9 @@ class VersionedTable:
         observed = Observation()
         has_source = SOURCE_VERSION in df.columns
         source = F.max(SOURCE_VERSION if has_source else F.lit(None).cast("bigint"))
+        if files is not None and self.order:
+            ranges = [*self.order, "_tie"]  # the tie cuts a period that is larger than a file
+            df = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(files, *ranges).drop("_tie")
         rows = df.observe(observed, F.count(F.lit(1)).alias("rows"), source.alias("source_version"))
         if self.order:  # within write tasks: row groups get narrow ranges, and nothing is shuffled
             rows = rows.sortWithinPartitions(*self.order)
@@ -174,6 +194,9 @@ class VersionedTable:
             .parquet(staging)
         )
         rows = observed.get["rows"]
+        if expected is not None and (found := self._staged_rows(staging)) != (wanted := expected()):
+            remove(self.spark, staging)
+            raise ReconciliationError(f"{operation}: {wanted} rows were read, {found} written; nothing is published")
         if rows == 0:
             remove(self.spark, staging)
             return None
@@ -188,6 +211,24 @@ class VersionedTable:
         rename_new(self.spark, staging, self.version_path(number))
         return Commit(number, rows, operation)
 
+    def _staged_rows(self, staging: str) -> int:
+        """Rows of unpublished files, from their footers."""
+        staged = VersionedTable(counting_session(self.spark), staging, self.partitions, self.contract)
+        if not any(self._is_leading(name) for name in child_names(self.spark, staging)):
+            return 0
+        reader = staged.spark.read if self.contract is None else staged.spark.read.schema(self.contract)
+        rows = reader.parquet(staging).groupBy(*self.partitions).agg(F.count(F.lit(1)).alias("rows"))
+        return rows.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()["rows"]
+
+    def has_operation(self, operation: str) -> bool:
+        """Whether a commit of that name was published."""
+        return not self.history().where(F.col("operation") == operation).isEmpty()
+
+    def recorded_rows(self, first: int, last: int) -> int:
+        """Rows of the commits first..last, from their records."""
+        records = self._records([v for v in self.versions() if first <= v <= last])
+        return records.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()["rows"]
+
     def remove_staging(self) -> int:
         """Delete what failed commits left behind; how many there were. Call it while nothing writes."""
         staging = f"{self.path}/_staging"

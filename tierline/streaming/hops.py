@@ -5,10 +5,11 @@ written by this stream alone: micro-batch N becomes version N, and a batch repla
 finds its version there and is skipped, which makes each hop exactly-once.
 """
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -62,6 +63,43 @@ def stream_conform(
     return _start(reduce(DataFrame.unionByName, conformed), target, "stream conform", checkpoint)
 
 
+def stream_feeds(
+    layers: Layers,
+    feeds: Iterable[FeedSpec],
+    target: VersionedTable,
+    checkpoint: str,
+    max_bytes: str | None = None,
+) -> None:
+    """Conform everything new in the feeds' bronze tables into `target`, a stream and a checkpoint per feed.
+
+    A feed can join at any run: it gets a checkpoint of its own below `checkpoint`, and the target and the other
+    feeds' checkpoints stay. Feeds run one after another, as a target has one writer. Every micro-batch is
+    reconciled before the next: the rows that the stream read must be those that the footers of the written files
+    tell, or the batch isn't published and the stream stops. A batch that was published before a crash is known by
+    its commit's name and skipped. Feeds that never landed are skipped.
+    """
+    for feed in feeds:
+        bronze = layers.bronze(feed.name)
+        if not bronze.exists():
+            continue
+        query = _start_with(
+            stream_inserts(bronze, max_bytes),
+            lambda batch, number, feed=feed: conform_batch(target, feed, batch, number),
+            f"{checkpoint}/{feed.name}",
+        )
+        query.awaitTermination()
+
+
+def conform_batch(target: VersionedTable, feed: FeedSpec, batch: DataFrame, batch_id: int) -> None:
+    """Commit a micro-batch of a feed's bronze rows once, if all of its rows arrive."""
+    operation = f"stream {feed.name} {batch_id}"
+    if target.has_operation(operation):
+        return
+    read = Observation()
+    counted = batch.observe(read, F.count(F.lit(1)).alias("rows"))
+    target.append(to_silver(counted, feed), operation, expected=lambda: read.get["rows"])
+
+
 def stream_publish(
     silver: VersionedTable, target: VersionedTable, checkpoint: str, max_bytes: str | None = None
 ) -> StreamingQuery:
@@ -71,11 +109,15 @@ def stream_publish(
 
 def _start(
     rows: DataFrame, target: VersionedTable, operation: str, checkpoint: str
+) -> StreamingQuery:
+    return _start_with(rows, lambda batch, number: append_batch(target, operation, batch, number), checkpoint)
+
+
+def _start_with(
+    rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
     return (
-        rows.writeStream.foreachBatch(
-            lambda batch, batch_id: append_batch(target, operation, batch, batch_id)
-        )
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -5,6 +5,8 @@ as integer cents and divided at the end. Rounded means and shares are computed i
 away from zero), since averaging in floating point can miss an exact half.
 """
 
+from tierline.schema import GOLD_COMMENT, SILVER_COMMENT, bronze_comment
+
 # A row of any layer: its feed, landed file, period, versions, and raw and conformed columns.
 # Files before 2000-01 landed before the first run, the rest before the second.
 ROWS = """
@@ -396,3 +398,79 @@ ORACLE: dict[str, str] = {
         from rows where year = 1998 group by feed, month"""
     ),
 }
+
+# Questions asked another way have the same answers.
+ORACLE |= {
+    "src6_avg_amount_sql": ORACLE["agg14_avg_amount_per_month"],
+    "src6_avg_party_sql": ORACLE["agg15_avg_party_per_hour"],
+    "src6_revenue_sql": ORACLE["agg16_revenue_per_feed"],
+    "src6_volume_sql": ORACLE["agg17_volume_per_hour"],
+    "snk4_question_by_catalog": ORACLE["agg14_avg_amount_per_month"],
+    "src6_changes_sql": of_rows(
+        f"""select feed, bronze_version as _source_version, {COUNT} as rows,
+        cast(count(*) filter (not is_amount_valid) as bigint) as doubtful
+        from rows where silver_version >= 2 group by feed, bronze_version"""
+    ),
+    "src7_every_feed": of_rows(
+        f"""select env, feed, source_file, {COUNT} as rows
+        from rows cross join (values ('dev'), ('prod')) as envs(env) group by env, feed, source_file"""
+    ),
+    "set2_every_feed": of_rows(
+        f"""select layer, feed, {COUNT} as rows
+        from rows cross join (values ('bronze'), ('silver'), ('gold')) as layers(layer) group by layer, feed"""
+    ),
+    "set4_every_feed": of_rows(
+        f"""select env, feed, count(distinct source_file) as files, {COUNT} as rows
+        from rows cross join (values ('dev'), ('prod')) as envs(env) group by env, feed"""
+    ),
+    "srt1_month_rows_sorted": of_rows(
+        f"""select layer, feed, year, month, {COUNT} as rows
+        from rows cross join (values ('silver'), ('gold')) as layers(layer)
+        group by layer, feed, year, month order by feed, year, month, layer"""
+    ),
+    "snk6_range_layout": of_rows(
+        f"select feed, year, month, {COUNT} as rows, true as in_few_files from rows group by feed, year, month"
+    ),
+    "st1_feed_added": of_rows(
+        f"""select feed, year, month, bronze_version as _source_version, {COUNT} as rows
+        from rows group by feed, year, month, bronze_version"""
+    ),
+    "flt5_empty_batch": of_rows(
+        f"""select feed, cast(2 as bigint) as entries, cast(1 as bigint) as empty_entries, {COUNT} as landing_rows,
+        cast(1 as bigint) as commits, {COUNT} as bronze_rows
+        from rows where (feed, source_file) in (select feed, max(source_file) from rows group by feed) group by feed"""
+    ),
+}
+
+# The contracts' columns in order: name, type, what fills it (fixed values).
+_COLUMNS = {
+    "entity_id": ("int", "entity_id"),
+    "party_size": ("int", "party_size"),
+    "amount": ("decimal(10,2)", "cents"),
+    "start_ts": ("timestamp", "start_ts"),
+    "end_ts": ("timestamp", "end_ts"),
+    "feed": ("string", "feed"),
+    "is_amount_valid": ("boolean", "is_amount_valid"),
+    "year": ("int", "year"),
+    "month": ("int", "month"),
+    "start_hour": ("int", "start_hour"),
+    "_source_version": ("bigint", "bronze_version"),
+    "_commit_version": ("bigint", "bronze_version"),
+}
+ORACLE["snk4_contract"] = of_rows(
+    " union all ".join(
+        f"""select '{table}' as "table", '{name}' as col_name, '{kind}' as data_type,
+        {str(name != "_commit_version").lower()} as documented, count({value}) as filled from rows"""
+        for table, absent in (("silver", "start_hour"), ("gold", "is_amount_valid"))
+        for name, (kind, value) in _COLUMNS.items()
+        if name != absent
+    )
+)
+_COMMENTS = [("silver", "true", SILVER_COMMENT), ("gold", "true", GOLD_COMMENT)]
+_COMMENTS += [(f"bronze_{feed}", f"feed = '{feed}'", bronze_comment(feed)) for feed in ("a", "b", "c")]
+ORACLE["snk5_documentation"] = of_rows(
+    " union all ".join(
+        f"""select '{table}' as "table", '{comment.replace("'", "''")}' as comment, {COUNT} as rows from rows where {scope}"""
+        for table, scope, comment in _COMMENTS
+    )
+)

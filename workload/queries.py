@@ -18,10 +18,13 @@ from tierline.operators import aggregates as A
 from tierline.operators import conform as C
 from tierline.operators import reconcile as R
 from tierline.plans import exploration, quality, questions, verify
-from tierline.plans.pipeline import ingested_files
+from tierline.plans.catalog import create_tables, create_views, described_columns, described_table
+from tierline.plans.pipeline import ingest_all, ingested_files
+from tierline.plans.statements import ask
 from tierline.session import require_settings
 from tierline.sources import landing
-from tierline.streaming.hops import stream_conform, stream_publish
+from tierline.sources.versioned import VersionedTable
+from tierline.streaming.hops import stream_conform, stream_feeds, stream_publish
 from workload.feeds import FEEDS, built_layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +182,163 @@ def src7_table_scan(layers: Layers) -> DataFrame:
 # Sinks, contracts, versions
 
 
+def every_feed_again(layers: Layers) -> Layers:
+    """Another root that ingested all feeds' landing files in a single run, with nothing behind bronze."""
+    other = BesideLanding(layers.spark, f"{layers.root}-again", landing_root=layers.root)
+    with MAKING:
+        if not all(other.bronze(name).exists() for name in NAMES):
+            ingest_all(other, FEEDS)
+    return other
+
+
+@on_layers
+def src7_every_feed(layers: Layers) -> DataFrame:
+    """Rows per file of all bronze tables in two environments, in one query."""
+    environments = {"dev": every_feed_again(layers), "prod": layers}
+    return stack(
+        verify.file_counts(place, FEEDS).select("feed", "source_file", F.col("bronze_rows").alias("rows"), F.lit(env).alias("env"))
+        for env, place in environments.items()
+    )
+
+
+def views(layers: Layers) -> str:
+    """The prefix of the temporary views of these layers' tables."""
+    prefix = "sql_"
+    create_views(layers, FEEDS, prefix)
+    return prefix
+
+
+@on_layers
+def src6_avg_amount_sql(layers: Layers) -> DataFrame:
+    """The first question as SQL over the views; the same as agg14."""
+    gold = f"{views(layers)}gold_activity"
+    answer = ask(layers.spark, "average_amount_per_month", gold=gold, feed=FEED, year=YEAR, first=FIRST, last=LAST)
+    return doubles(answer, "avg_amount")
+
+
+@on_layers
+def src6_avg_party_sql(layers: Layers) -> DataFrame:
+    gold = f"{views(layers)}gold_activity"
+    return doubles(ask(layers.spark, "average_party_per_hour", gold=gold, year=YEAR, month=HOUR_MONTH), "avg_party")
+
+
+@on_layers
+def src6_revenue_sql(layers: Layers) -> DataFrame:
+    gold = f"{views(layers)}gold_activity"
+    answer = ask(layers.spark, "revenue_per_feed_and_month", gold=gold, year=YEAR, first=FIRST, last=LAST)
+    return doubles(answer, "revenue", "avg_ticket")
+
+
+@on_layers
+def src6_volume_sql(layers: Layers) -> DataFrame:
+    gold = f"{views(layers)}gold_activity"
+    return doubles(ask(layers.spark, "volume_per_hour", gold=gold, year=YEAR, month=HOUR_MONTH), "pct_of_day")
+
+
+@on_layers
+def src6_changes_sql(layers: Layers) -> DataFrame:
+    """A change batch as SQL: silver's rows of the second run."""
+    return ask(layers.spark, "rows_since", silver=f"{views(layers)}silver_activity", start=2)
+
+
+def registered(layers: Layers) -> dict[str, str]:
+    """The layers' tables in the session catalog, by a short name."""
+    with MAKING:
+        names = create_tables(layers, FEEDS, prefix="check_")
+    return {name.replace("`", "").removeprefix("check_").replace(".", "_").replace("_activity", ""): name for name in names}
+
+
+@on_layers
+def snk4_contract(layers: Layers) -> DataFrame:
+    """The contracts of silver and gold as the catalog tells them, and how many rows fill each column."""
+    tables = registered(layers)
+
+    def columns(name: str) -> DataFrame:
+        table = layers.spark.table(tables[name])
+        filled = table.agg(*[F.count(column).alias(column) for column in table.columns])
+        filled = filled.unpivot([], table.columns, "col_name", "filled")
+        listed = described_columns(layers.spark, tables[name])
+        return listed.join(filled, "col_name").select(
+            F.lit(name).alias("table"), "col_name", "data_type", F.col("comment").isNotNull().alias("documented"), "filled"
+        )
+
+    return stack(columns(name) for name in ("silver", "gold"))
+
+
+@on_layers
+def snk4_question_by_catalog(layers: Layers) -> DataFrame:
+    """The first question asked of the registered gold table; only its directories of the period are read."""
+    gold = registered(layers)["gold"].replace("`", "")
+    answer = ask(layers.spark, "average_amount_per_month", gold=gold, feed=FEED, year=YEAR, first=FIRST, last=LAST)
+    return doubles(answer, "avg_amount")
+
+
+@on_layers
+def snk5_documentation(layers: Layers) -> DataFrame:
+    """Every registered table's comment and rows."""
+    spark = layers.spark
+    return stack(
+        A.count_rows(spark.table(name)).crossJoin(described_table(spark, name)).withColumn("table", F.lit(short))
+        for short, name in registered(layers).items()
+    )
+
+
+RANGE_ROWS = 5000  # rows of a file of the range layout below
+
+
+def ranged(layers: Layers) -> Layers:
+    """Silver of a second environment over the first one's bronze, laid out in ranges of period."""
+    other = BesideBronze(layers.spark, f"{layers.root}-ranged", bronze_root=layers.root)
+    with MAKING:
+        if not other.silver.exists():
+            conform(other, FEEDS, file_rows=RANGE_ROWS)
+    return other
+
+
+@on_layers
+def snk6_range_layout(layers: Layers) -> DataFrame:
+    """Rows per feed and period of the range layout, and whether few files hold the period: as many as its
+    rows fill, with room for uneven cuts, and one more at either end."""
+    path = F.col("_metadata.file_path").alias("path")
+    rows = ranged(layers).silver.read().select("feed", "year", "month", path)
+    per_period = rows.groupBy("feed", "year", "month").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("path").alias("files")
+    )
+    few = F.col("files") <= 2 + F.ceil(2 * F.col("rows") / RANGE_ROWS)
+    return per_period.select("feed", "year", "month", "rows", few.alias("in_few_files"))
+
+
+@on_layers
+def flt5_empty_batch(layers: Layers) -> DataFrame:
+    """An environment with the last entry of each feed and one without rows, ingested twice: what landed, what
+    bronze has, and how often it was written."""
+    sparse = Layers(layers.spark, f"{layers.root}-sparse")
+
+    def landed_again(name: str) -> None:
+        bronze = layers.bronze(name)
+        last = bronze.listed_partitions("source_file").agg(F.max("source_file").alias("entry")).first()["entry"]
+        rows = bronze.read().where(F.col("source_file") == last).drop("source_file", "_commit_version")
+        rows.write.mode("overwrite").parquet(f"{sparse.landing(name)}/{last}")
+        rows.limit(0).write.mode("overwrite").parquet(f"{sparse.landing(name)}/{name}_2099-12.parquet")
+
+    with MAKING:
+        if not sparse.bronze("c").exists():
+            for name in NAMES:
+                landed_again(name)
+            ingest_all(sparse, FEEDS)
+            ingest_all(sparse, FEEDS)
+    counts = landing.landing_counts(layers.spark, {name: sparse.landing(name) for name in NAMES})
+    landed_rows = counts.groupBy("feed").agg(
+        F.count(F.lit(1)).alias("entries"),
+        F.count_if(F.col("landing_rows") == 0).alias("empty_entries"),
+        F.sum("landing_rows").alias("landing_rows"),
+    )
+    written = per_feed(
+        lambda name: sparse.bronze(name).history().agg(F.count(F.lit(1)).alias("commits"), F.sum("rows").alias("bronze_rows"))
+    )
+    return landed_rows.join(written, "feed")
+
+
 @on_layers
 def snk1_bronze_append(layers: Layers) -> DataFrame:
     """Bronze after all appends; a's second one extended the table's type-drifted files."""
@@ -540,6 +700,28 @@ def set2_rows_per_layer(layers: Layers) -> DataFrame:
     return exploration.rows_per_layer(layers, FEED)
 
 
+@on_layers
+def set2_every_feed(layers: Layers) -> DataFrame:
+    return stack(exploration.rows_per_layer(layers, name).withColumn("feed", F.lit(name)) for name in NAMES)
+
+
+@on_layers
+def set4_every_feed(layers: Layers) -> DataFrame:
+    environments = {"dev": every_feed_again(layers), "prod": layers}
+    return stack(
+        exploration.compare_environments(environments, name).withColumn("feed", F.lit(name)) for name in NAMES
+    )
+
+
+@on_layers
+def srt1_month_rows_sorted(layers: Layers) -> DataFrame:
+    """Month coverage of all layers, by feed, year, month and layer."""
+    keys = ("feed", "year", "month")
+    parts = {"silver": layers.silver.read(), "gold": layers.gold.read()}
+    counted = stack(A.count_rows(rows, *keys).withColumn("layer", F.lit(name)) for name, rows in parts.items())
+    return counted.orderBy(*keys, "layer")
+
+
 @on_layers
 def set3_files_and_rows(layers: Layers) -> DataFrame:
     return exploration.files_and_rows(layers, FEEDS)
@@ -698,6 +880,17 @@ def st1_stream_publish(layers: Layers) -> DataFrame:
     return gold_rows(streamed(layers).gold.read()).drop("_source_version")
 
 
+@on_layers
+def st1_feed_added(layers: Layers) -> DataFrame:
+    """Silver by a stream per feed: a and b in one run, then all, into the same target with the same checkpoints."""
+    target = Layers(layers.spark, f"{layers.root}-joined")
+    with MAKING:
+        if not target.silver.exists():
+            for feeds in (FEEDS[:2], FEEDS):
+                stream_feeds(layers, feeds, target.silver, f"{target.root}/checkpoint")
+    return A.count_rows(target.silver.read(), "feed", "year", "month", "_source_version")
+
+
 @on_layers
 def pl1_ingest(layers: Layers) -> DataFrame:
     """Bronze after both runs, and after a third that finds nothing new."""
@@ -722,6 +915,16 @@ def pl3_publish(layers: Layers) -> DataFrame:
     return A.count_rows(layers.gold.read(), "feed", "_commit_version", "_source_version")
 
 
+@dataclass(frozen=True)
+class BesideBronze(Layers):
+    """Later tables of their own over another environment's bronze."""
+
+    bronze_root: str = ""
+
+    def bronze(self, feed: str) -> VersionedTable:
+        return Layers(self.spark, self.bronze_root).bronze(feed)
+
+
 @dataclass(frozen=True)
 class BesideLanding(Layers):
     """Tables of their own over another environment's landing directories."""
