@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tierline.functions.expressions import null_count
 from tierline.operators.aggregates import count_rows
 from tierline.plans.layers import Layers
-from tierline.plans.verify import bronze_totals, feed_totals
+from tierline.plans.verify import at_once, bronze_totals, feed_totals
 from tierline.schema import FeedSpec
 
 
@@ -40,10 +40,11 @@ def bad_intervals(gold: DataFrame) -> DataFrame:
 
 def layer_reconciliation(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
     """Rows per feed in each layer, side by side. Conformation is 1:1, so they must agree."""
-    by_layer = {
-        "bronze": bronze_totals(layers, feeds),
-        "silver": feed_totals(layers.silver),
-        "gold": feed_totals(layers.gold),
+    counts = {
+        "bronze": lambda: bronze_totals(layers, feeds),
+        "silver": lambda: feed_totals(layers.silver),
+        "gold": lambda: feed_totals(layers.gold),
     }
-    labelled = [df.select(F.lit(name).alias("layer"), "feed", "rows") for name, df in by_layer.items()]
+    frames = at_once(lambda make: make(), counts.values())
+    labelled = [df.select(F.lit(name).alias("layer"), "feed", "rows") for name, df in zip(counts, frames, strict=True)]
     return reduce(DataFrame.union, labelled).orderBy("feed", "layer")

@@ -5,7 +5,9 @@ any. Counts of the tables are by all their partition columns, in a session where
 Parquet footers. Landed files have no partition columns; tasks read their footers, a row per file.
 """
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,20 +21,37 @@ from tierline.sources.landing import landing_counts, stack_feeds
 from tierline.sources.versioned import ReconciliationError, VersionedTable
 
 
+Item = TypeVar("Item")
+
+
 def table_counts(table: VersionedTable) -> DataFrame:
     """Rows per combination of partition columns, from footers."""
     return table.counts(counting_session(table.spark))
 
 
+def at_once(make: Callable[[Item], DataFrame], items: Iterable[Item]) -> list[DataFrame]:
+    """`make` of every item, in threads: planning a count lists a tree of directories, which takes most of its time."""
+    items = list(items)
+    with ThreadPoolExecutor(max(1, len(items))) as pool:
+        return list(pool.map(make, items))
+
+
+def bronze_counts(layers: Layers, feeds: Iterable[FeedSpec]) -> dict[str, DataFrame]:
+    """The counts of each feed's bronze table."""
+    feeds = list(feeds)
+    counts = at_once(lambda feed: table_counts(layers.bronze(feed.name)), feeds)
+    return {feed.name: df for feed, df in zip(feeds, counts, strict=True)}
+
+
 def file_counts(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
     """Rows per source file in the feeds' bronze tables."""
-    counts = {feed.name: table_counts(layers.bronze(feed.name)).select("source_file", "rows") for feed in feeds}
+    counts = {name: df.select("source_file", "rows") for name, df in bronze_counts(layers, feeds).items()}
     return stack_feeds(counts).groupBy("feed", "source_file").agg(F.sum("rows").alias("bronze_rows"))
 
 
 def bronze_totals(layers: Layers, feeds: Iterable[FeedSpec], alias: str = "rows") -> DataFrame:
     """Rows per feed over the bronze tables; 0 for a feed that never landed."""
-    counts = {feed.name: table_counts(layers.bronze(feed.name)).select(F.col("rows").alias("n")) for feed in feeds}
+    counts = {name: df.select(F.col("rows").alias("n")) for name, df in bronze_counts(layers, feeds).items()}
     floor = feed_frame(layers.spark, counts).withColumn("n", F.lit(0).cast("bigint"))
     return stack_feeds(counts).union(floor).groupBy("feed").agg(F.sum("n").alias(alias))
 
@@ -72,8 +91,8 @@ def silver_mismatches(layers: Layers, feeds: Iterable[FeedSpec]) -> DataFrame:
 
 def gold_mismatches(layers: Layers) -> DataFrame:
     """Feeds on either side whose rows differ between silver and gold."""
-    silver = feed_totals(layers.silver, "silver_rows")
-    gold = feed_totals(layers.gold, "gold_rows")
+    sides = ((layers.silver, "silver_rows"), (layers.gold, "gold_rows"))
+    silver, gold = at_once(lambda side: feed_totals(*side), sides)
     return reconcile_both(silver, gold, ["feed"], ("silver_rows", "gold_rows"))
 
 
