@@ -34,8 +34,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tierline.llm.support import broadcast_if_small, run_starts, sorted_runs, text_bytes, text_or_empty, written
+from tierline.llm.support import broadcast_if_small, row_key, run_starts, sorted_runs, text_bytes, text_or_empty, written
 
 LENGTH = 200
 GRAM = 32
@@ -131,7 +132,7 @@ def slices(starts: np.ndarray, most: int) -> Iterator[list[tuple[int, int, int]]
         yield group
 
 
-BLOCK = "row_id bigint, tag int, start int, strings int, anchor int, gram bigint, block bigint"
+BLOCK = "row_id bigint, tag bigint, start int, strings int, anchor int, gram bigint, block bigint"
 
 
 def _blocks(most: int):
@@ -178,7 +179,7 @@ def bucketed(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return repeats.select("row_id", "tag", "start", "strings"), kinds.drop("block", "rows")
 
 
-REFINED = "row_id bigint, tag int, start int, strings int, anchor int, gram bigint, bytes binary"
+REFINED = "row_id bigint, tag bigint, start int, strings int, anchor int, gram bigint, bytes binary"
 
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +223,7 @@ def runs_of(row: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row[begin], number[begin], np.diff(np.append(begin, len(row)))
 
 
-SPAN = "row_id bigint, tag int, start int, strings int"
+SPAN = "row_id bigint, tag bigint, start int, strings int"
 
 
 def _spans(table: pa.Table, row: np.ndarray, number: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -277,10 +278,10 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keyed_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id and text with a key for rows: row_id and tag, equal for rows of equal id and text only."""
+    """doc_id and text with a key for rows of 128 bits: row_id and tag, equal for rows of equal id and text only."""
     body = text_or_empty(text)
-    row_id = F.coalesce(F.col(doc_id).cast("bigint"), F.xxhash64(body))
-    return docs.select(F.col(doc_id).alias("doc_id"), row_id.alias("row_id"), F.hash(body, F.lit(1)).alias("tag"), body.alias("text"))
+    row_id, tag = row_key(F.col(doc_id), body)
+    return docs.select(F.col(doc_id).alias("doc_id"), row_id.alias("row_id"), tag.alias("tag"), body.alias("text"))
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -301,7 +302,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         large = crowded if small is None else small
         few = blocks.join(large, "gram", "left_anti")
         strings = written(
-            blocks.join(large, "gram", "left_semi").mapInArrow(_listed, "row_id bigint, tag int, start int, id bigint"),
+            blocks.join(large, "gram", "left_semi").mapInArrow(_listed, "row_id bigint, tag bigint, start int, id bigint"),
             "crowded-strings",
         )
         again = strings.groupBy("id").count().where(F.col("count") > 1).select("id")
@@ -330,7 +331,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     spans = repeated_spans(texts).distinct()
     per_text = spans.groupBy("row_id", "tag").agg(F.collect_list(F.struct("start", "strings")).alias("spans"))
     found = texts.join(per_text, ["row_id", "tag"], "left").select("doc_id", "text", "spans")
-    kind = found.schema["doc_id"].dataType.simpleString()
+    kinds = "kept binary, removed array<struct<start:bigint,end:bigint>>, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    kind = T.StructType([found.schema["doc_id"], *T.StructType.fromDDL(kinds).fields])
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,8 +360,4 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             names = ["doc_id", "kept", "removed", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.record_batch(out, names)
 
-    return found.mapInArrow(
-        clean,
-        f"doc_id {kind}, kept binary, removed array<struct<start:bigint,end:bigint>>, n_bytes bigint, "
-        "n_removed bigint, n_spans bigint, kept_sha256 string",
-    )
+    return found.mapInArrow(clean, kind)

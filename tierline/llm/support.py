@@ -51,6 +51,14 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def row_key(key: Column, text: Column) -> tuple[Column, Column]:
+    """Two halves of 128 bits of the SHA-256 of a row's id and text: equal for rows equal in both only."""
+    name = key.cast("string")
+    marked = F.coalesce(F.concat(F.octet_length(name).cast("string"), F.lit(":"), name), F.lit("-"))
+    digest = F.sha2(F.concat(marked, F.lit(" "), text), 256)
+    return tuple(F.conv(F.substring(digest, at, 16), 16, -10).cast("bigint") for at in (1, 17))
+
+
 def sorted_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Rows of each key from batches that are sorted by it, a run of whole keys at a time.
 
