@@ -7,8 +7,8 @@ A pre-token is a run of spaces with what follows it up to the next space. No pie
 holds a space behind another character (checked when the model is loaded), so no merge crosses from one
 pre-token into the next and their counts add up to the text's.
 
-Scale: pre-tokens are combined per batch before they are shuffled. The HEAD most frequent ones, short and
-few whatever the corpus, go to every task, which settles most of each document where it is read; only
+Scale: pre-tokens are combined per batch before they are shuffled. The most frequent ones, short and at
+most HEAD whatever the corpus, go to every task, which settles most of each document where it is read; only
 the others, none of them frequent, travel to the join. A long pre-token is an ordinary join key.
 
 Edge cases: NULL text counts as empty and has no tokens; a document of spaces, one pre-token of any length
@@ -26,10 +26,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.support import text_or_empty, written
+from tierline.llm.support import row_key, text_or_empty, written
 
 HEAD = 400_000  # pre-tokens sent to every task: below 30 MB at HEAD_LENGTH characters
 HEAD_LENGTH = 32
+LEVELS = 16  # classes of use per doubling
 LIMIT = 4096  # tokens of a document above which it is marked
 SPACE = "▁"  # how the model writes a space; the same character in a text counts as one
 PRE_TOKEN = regex.compile(f"[ {SPACE}]+[^ {SPACE}]*")
@@ -89,13 +90,16 @@ def token_counts(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str
     spark = docs.sparkSession
     body = text_or_empty(text)
     pieces = written(pre_token_pieces(docs.select(body.alias("text")), model), "pre-tokens")
-    head_rows = (
-        pieces.where(F.char_length("token") <= HEAD_LENGTH)
-        .orderBy(F.desc("uses"), "token")
-        .limit(HEAD)
-        .select("token", "pieces")
-        .toArrow()
-    )
+    short = pieces.where(F.char_length("token") <= HEAD_LENGTH)
+    # a few hundred classes of use tell the cut: whole classes, the most used first, while they fit
+    level = F.floor(F.log2("uses") * LEVELS).cast("int")
+    room, cut = HEAD, None
+    for row in short.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        cut = row["level"]
+    head_rows = short.where(F.lit(False) if cut is None else level >= cut).select("token", "pieces").toArrow()
     head = spark.sparkContext.broadcast(head_rows.to_pydict())
     known: dict[str, int] = {}
 
@@ -116,32 +120,34 @@ def token_counts(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str
                     else:
                         total += each * count
                 sums.append(total)
-            keys = batch.select(["doc_id", "content", "n_bytes"])
+            keys = batch.select(["high", "low", "doc_id", "n_bytes"])
             # a key that no pre-token has, another for each document
-            own = pa.array([f"- {row} {content}" for row, content in enumerate(batch.column("content").to_pylist())])
+            own = pa.array([f"- {row} {low}" for row, low in enumerate(batch.column("low").to_pylist())])
             names = [*keys.schema.names, "token", "uses", "known"]
             none = pa.nulls(len(sums), pa.int64())
             yield pa.record_batch([*keys.columns, own, none, pa.array(sums, pa.int64())], names)
             rest = keys.take(pa.array(rows, pa.int64()))
             none = pa.nulls(len(rows), pa.int64())
             columns = [pa.array(tokens, pa.string()), pa.array(uses, pa.int64()), none]
-            yield pa.record_batch([*rest.columns[:2], none, *columns], names)
+            yield pa.record_batch([*rest.columns[:2], none, none, *columns], names)
 
+    high, low = row_key(F.col(doc_id), body)  # rows that repeat an id are told apart by their text
     rows = docs.select(
+        high.alias("high"),
+        low.alias("low"),
         F.col(doc_id).cast("bigint").alias("doc_id"),
-        # rows that repeat an id are told apart by their text
-        F.when(F.col(doc_id).isNull(), F.xxhash64(body)).otherwise(F.hash(body).cast("bigint")).alias("content"),
         F.octet_length(body).cast("bigint").alias("n_bytes"),
         body.alias("text"),
     )
-    kind = "doc_id bigint, content bigint, n_bytes bigint, token string, uses bigint, known bigint"
+    kind = "high bigint, low bigint, doc_id bigint, n_bytes bigint, token string, uses bigint, known bigint"
     frequencies = rows.mapInArrow(reduced, kind)
     joined = frequencies.join(pieces.select("token", "pieces"), "token", "left")
-    per_text = joined.groupBy("doc_id", "content").agg(
+    per_text = joined.groupBy("high", "low").agg(
+        F.max("doc_id").alias("doc_id"),
         F.max("n_bytes").alias("n_bytes"),
         F.sum(F.coalesce("known", F.col("uses") * F.col("pieces"))).alias("tokens"),
         F.count("known").alias("rows"),
     )
     # rows equal in id and text are summed together and come apart again
-    each = F.explode(F.array_repeat((F.col("tokens") / F.col("rows")).cast("bigint"), F.col("rows").cast("int")))
+    each = F.explode(F.array_repeat(F.expr("tokens div rows"), F.col("rows").cast("int")))
     return per_text.select("doc_id", "n_bytes", each.alias("n_tokens"))
