@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.llm.support import broadcast_if_small, text_or_empty, written
 
@@ -266,7 +267,11 @@ def fit(
     few = broadcast_if_small(one_each, BROADCAST_LABELS)
     labelled = texts.join(one_each if few is None else few, "_id").select("text", "toxic")
     candidates = _candidates(written(labelled.distinct(), "toxicity-texts"))  # copies of a text teach once
-    sample = written(texts.join(F.broadcast(ids), "_id").select("text", "toxic"), "toxicity-sample")
+    # of an id on several rows one text teaches, combined before the shuffle: at most a row per sampled id
+    one_text = texts.join(F.broadcast(ids), "_id").groupBy("_id").agg(
+        F.min(F.struct(F.sha2("text", 256), "text")).alias("least"), F.max("toxic").alias("toxic")
+    )
+    sample = written(one_text.select("least.text", "toxic"), "toxicity-sample")
     if not candidates:
         known = sample.agg(F.avg("toxic")).first()[0] or 0.0
         share = min(max(float(known), 1e-12), 1 - 1e-12)
@@ -289,8 +294,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, text: str = "text") -
             scores = [model.score(voters.votes(one)) for one in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(scores, pa.float64())], ["doc", "score"])
 
-    kind = row.schema["doc"].dataType.simpleString()
-    return row.mapInArrow(score, f"doc {kind}, score double")
+    return row.mapInArrow(score, T.StructType([row.schema["doc"], T.StructField("score", T.DoubleType())]))
 
 
 def non_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
