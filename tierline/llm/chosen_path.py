@@ -443,7 +443,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     repeated = placed.where(stands).groupBy("doc_id", "words_id").count().where("count > 1")
     repeated = written(repeated.select("doc_id", "words_id"), "repeated-rows")
     if not repeated.isEmpty():  # an id on several rows of equal words: one stays, combined before the shuffle
-        one = F.min_by("_row", F.xxhash64("_row")).alias("_row")
+        one = F.min_by("_row", F.to_json("_row")).alias("_row")
         of_many = rows.join(repeated, same(repeated), "left_semi").groupBy("_id", "_words").agg(one)
         stays = stays.join(repeated, same(repeated), "left_anti").select("_row").unionByName(of_many.select("_row"))
     return stays.select("_row.*")
