@@ -34,14 +34,17 @@ from hits group by page_id, host, path
 OP5 = """
 with reply as (select conv_id, max(turn) as turn, max_by(text, turn) as text from conversations
   where role = 'assistant' group by conv_id),
-pairs as (select r.conv_id, r.turn as last, r.text as good, o.text as bad, o.conv_id is not null as other
-  from reply r left join reply o on o.conv_id = r.conv_id + 1),
+following as (select *, lead(text) over (order by conv_id) as bad, lead(conv_id) over (order by conv_id) is not null as other
+  from reply),
+pairs as (select c.conv_id, r.turn as last, r.text as good, r.bad, coalesce(r.other, false) as other,
+    coalesce(r.text = r.bad, false) or r.conv_id is null as same
+  from (select distinct conv_id from conversations) c left join following r using (conv_id)),
 prompts as (select p.conv_id, count(*) as n,
     string_agg('<|' || c.role || '|>' || chr(10) || c.text || '<|end|>' || chr(10), '' order by c.turn) as prompt
   from pairs p join conversations c on c.conv_id = p.conv_id
-    and (c.turn < p.last or (c.turn = p.last and coalesce(p.good = p.bad, false))) group by p.conv_id),
-done as (select p.conv_id, coalesce(q.prompt, '') as prompt, coalesce(q.n, 0) as n,
-    coalesce(p.good = p.bad, false) as same, good, bad, other from pairs p left join prompts q using (conv_id))
+    and (p.last is null or c.turn < p.last or (c.turn = p.last and p.same)) group by p.conv_id),
+done as (select p.conv_id, coalesce(q.prompt, '') as prompt, coalesce(q.n, 0) as n, same, good, bad, other
+  from pairs p left join prompts q using (conv_id))
 select conv_id as pair_id, prompt,
   case when same then '' else '<|assistant|>' || chr(10) || good || '<|end|>' || chr(10) end as chosen,
   case when same or not other then '' else '<|assistant|>' || chr(10) || bad || '<|end|>' || chr(10) end as rejected,
@@ -138,9 +141,11 @@ rows as (select conv_id, turn, case when fate = 4 then 'user' else role end as r
   from hit, unnest(range(case fate when 0 then 0 when 3 then 2 else 1 end))),
 placed as (select *, row_number() over (partition by conv_id order by turn nulls first, encode(role), sha256(text)) as place from rows),
 judged as (select *, left(role, 1) as initial, case
-    when not regexp_matches(text, '[^ 	-]') then 1
+    when not regexp_matches(text, '[^ 	-
+]') then 1
     when row_number() over (partition by conv_id, role, text order by place) > 1 then 2
-    when not regexp_matches(text, '[.!?][ 	-]*\z') then 3 else 0 end as fault,
+    when not regexp_matches(text, '[.!?][ 	-
+]*\z') then 3 else 0 end as fault,
   left(role, 1) || lead(left(role, 1)) over (partition by conv_id order by place) as pair from placed),
 facts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
     count(*) filter (fault = 1) as blank, count(*) filter (fault = 2) as duplicate, count(*) filter (fault = 3) as truncated,

@@ -14,6 +14,7 @@ from tierline.llm.multi_index import near_vectors
 from tierline.llm.packing import pack
 from tierline.llm.preference import TRAINED_ROLE, format_preferences
 from tierline.llm.suffix_dedup import without_repeats
+from tierline.llm.support import numbered, written
 from tierline.llm.toxicity import THRESHOLD, fit, is_held_out, toxicity_scores
 from tierline.llm.token_counts import LIMIT, token_counts
 from tierline.llm.turn_repair import damaged, repaired
@@ -67,19 +68,24 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mismatched_replies(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Chosen and rejected turns: every conversation up to its last reply, and the same with the last
-    reply of the conversation of the next id (with none, if that has none)."""
+    """Chosen and rejected turns of every conversation: up to its last reply, and the same with the last reply of
+    the next conversation by id that has one (none after the last). A conversation without a reply is on
+    both sides as it is, so that its row has a prompt and no completions."""
     reply = turns.where(F.col("role") == TRAINED_ROLE).groupBy("conv_id").agg(
         F.max(F.struct("turn", "text")).alias("last")
     )
-    ended = turns.join(reply, "conv_id")
+    reply = written(reply, "last-replies")
+    in_order = numbered(reply.select(F.lit(0).alias("all"), "conv_id"), ["all"], ["conv_id"], "replying")
+    in_order = written(in_order.select("conv_id", "place"), "replying-in-order")
+    before = in_order.select(F.col("conv_id").alias("pair_id"), (F.col("place") + 1).alias("place"))
+    following = before.join(in_order, "place").join(reply, "conv_id")
+    own = reply.select(F.col("conv_id").alias("pair_id"), F.col("last.turn").alias("turn"))
+    other = following.select("pair_id", F.col("last.text").alias("text")).join(own, "pair_id")
+    other = other.select("pair_id", "turn", F.lit(TRAINED_ROLE).alias("role"), "text")
     columns = [F.col("conv_id").alias("pair_id"), "turn", "role", "text"]
-    chosen = ended.where("turn <= last.turn").select(columns)
-    others = reply.select((F.col("conv_id") - 1).alias("conv_id"), F.col("last.text").alias("text"))
-    other = reply.join(others, "conv_id").select(
-        F.col("conv_id").alias("pair_id"), F.col("last.turn").alias("turn"), F.lit(TRAINED_ROLE).alias("role"), "text"
-    )
-    return chosen, ended.where("turn < last.turn").select(columns).unionByName(other)
+    ended = turns.join(reply.select("conv_id", F.col("last.turn").alias("end")), "conv_id", "left")
+    chosen = ended.where("end is null or turn <= end").select(columns)
+    return chosen, ended.where("end is null or turn < end").select(columns).unionByName(other)
 
 
 def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
