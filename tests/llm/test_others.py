@@ -139,6 +139,43 @@ def test_url_verdicts(spark, monkeypatch, limits):
     assert kept.columns == pages.columns and kept.count() == sum(v[3] == "allow" for v in found.values())
 
 
+def test_url_rules_of_any_length(spark):
+    deep, wide = "/" + "p" * 9000, "h." * 3000 + "test"
+    listed = [("a.test", deep, "block"), (wide, "/", "block"), ("test", "/", "allow"), ("test", "/p", "block"), ("test", "/p", "allow")]
+    urls = ["http://a.test" + deep, "http://a.test" + deep[:-1], f"x://s.{wide}/q", f"x://{wide[2:]}/q", "x://test/p", "x://b.test/x", None]
+    rules = spark.createDataFrame(listed, "host string, path string, verdict string")
+    pages = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate(urls)], "page_id bigint, url string, host string, rule string")
+    found = {r["page"]["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.judge_urls(pages, rules).collect()}
+    assert found == {i: judged(u, listed) for i, u in enumerate(urls)}
+
+
+@pytest.mark.parametrize("hot", [None, "http://www.net/x"])
+def test_a_hot_url_is_split(spark, hot):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    kept = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        urls = [hot if i % 3 == 0 else f"http://h{i}.org/fr/{i}" for i in range(6000)]
+        pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id bigint, url string").repartition(12)
+        rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+        answers = url_filter.judge_urls(pages, rules)
+        found = {r["page"]["page_id"]: r["rule"] for r in answers.collect()}
+        assert found == {i: judged(u, URL_RULES)[2] for i, u in enumerate(urls)}
+        assert "skew=true" in answers._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in kept.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_url_filter_without_rules_or_pages(spark):
     pages = spark.createDataFrame([(1, "http://a/b")], "page_id bigint, url string")
     rules = spark.createDataFrame([], "host string, path string, verdict string")

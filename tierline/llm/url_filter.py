@@ -1,19 +1,22 @@
 """URL filtering by a list of rules, behind a blocked Bloom filter.
 
 A rule is a host, a path and a verdict. It fits a URL whose host is the rule's or a subdomain of it and
-whose path starts with the rule's. The key of a rule is host and path put together, and the keys a URL
-could be listed under are its host's suffixes with its path's prefixes, of the shapes (labels, path
-length) that occur in the list. A key's block of the filter is chosen by one hash and its bits in it by
-another; keys that find all their bits set are possible hits and go to an exact hash join with the list,
-which drops false positives. Everything is DataFrame functions.
-
-Skew: each distinct pair of host and path is judged once, so a hot URL is one row per task. The filter
-and the list are broadcast after a check of their size; beyond it the filter is joined by block and the
-list by key.
+whose path starts with the rule's. The key of a rule is host and path put together. Of a URL's host the
+suffixes of as many labels as listed hosts have are tried first, against a filter of the listed hosts and then
+the hosts themselves; only those that are listed go on, with the path's prefixes of the lengths that occur
+under that host. Their keys are probed in the filter of all keys. A key's block of a filter is chosen by one
+hash and its bits in it by another; keys that find all their bits set are possible hits and go to an exact
+hash join with the list, which drops false positives. Everything is DataFrame functions.
+
+Skew: each distinct pair of host and path is judged once, so a hot URL is one row per task. The verdicts are
+written before they meet the rows again, so that adaptive execution can split a hot URL (or all NULL ones)
+over tasks there. The filters and the list are broadcast after a check of their rows and bytes; beyond it
+a filter is joined by block and the list by key.
 
 Edge cases: a NULL URL or one without `://` has empty host and path, fits no rule and is allowed; of
 several fitting rules the longest key wins, then the longer host, then block over allow; repeated URLs get
-the same answer; an empty list allows everything; a NULL in a rule makes it fit nothing.
+the same answer; an empty list allows everything; a NULL in a rule makes it fit nothing; URLs and rules may be
+of any length; columns of the pages named like those of the result stay apart, within `page`.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +29,7 @@ BITS = 6  # set per key
 KEYS_PER_BLOCK = 32  # about 16 bits for each key
 BROADCAST_BLOCKS = 100_000  # rows of 72 bytes
 BROADCAST_RULES = 100_000
-LONGEST_KEY = 4096  # characters of a rule's host and path; bounds the shapes
+BROADCAST_BYTES = 64 << 20  # of the rules' hosts and paths
 OTHERWISE = "allow"
 
 
@@ -95,54 +98,53 @@ def possible_hits(candidates: DataFrame, filter_: DataFrame, blocks: int, key: s
 
 
 def listed_rules(rules: DataFrame) -> DataFrame:
-    """Rules (host, path, verdict) with their canonical key and shape; one verdict a key, block first."""
-    host, path = ascii_lower(F.col("host")), F.col("path")
-    keyed = rules.where("host is not null and path is not null and verdict is not null").select(
-        F.concat(host, path).alias("key"),
-        F.size(F.split(host, r"\.")).alias("labels"),
-        F.char_length(path).alias("path_length"),
-        F.char_length(host).alias("host_length"),
-        "verdict",
+    """Rules (host, path, verdict) as rule_host, rule_path, labels, path_length and one verdict, block first."""
+    whole = rules.where("host is not null and path is not null and verdict is not null")
+    keyed = whole.select(ascii_lower(F.col("host")).alias("rule_host"), F.col("path").alias("rule_path"), "verdict")
+    return keyed.groupBy("rule_host", "rule_path").agg(
+        F.max("verdict").alias("verdict"),
+        F.size(F.split("rule_host", r"\.")).alias("labels"),
+        F.char_length("rule_path").alias("path_length"),
     )
-    return keyed.groupBy("key", "labels", "path_length", "host_length").agg(F.max("verdict").alias("verdict"))
+
+
+def probed(candidates: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The candidates whose `key` a filter of `keys` lets pass."""
+    blocks = max(1, -(-keys.count() // KEYS_PER_BLOCK))
+    return possible_hits(candidates, written(bloom_filter(keys, blocks, key), "url-bloom"), blocks, key)
 
 
 def url_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct (host, path) of `urls` that a rule fits: host, path, rule, verdict."""
     listed = written(listed_rules(rules), "url-rules")
-    count = listed.count()
-    # shapes are pairs of small numbers, bounded by the longest key, however long the list is
-    longest = listed.agg(F.max(F.col("host_length") + F.col("path_length"))).first()[0] or 0
-    if longest > LONGEST_KEY:
-        raise ValueError(f"a rule of {longest} characters; the limit is {LONGEST_KEY}")
-    shapes = [tuple(row) for row in listed.select("labels", "path_length").distinct().collect()]
     parts = urls.select("host", "path").distinct()
-    if not shapes:
+    # a small number per row; n different ones need a list of n * n / 2 labels
+    labels = sorted(row["labels"] for row in listed.select("labels").distinct().collect())
+    if not labels:
         return parts.where("false").select("host", "path", F.lit("").alias("rule"), F.lit("").alias("verdict"))
-    shape = F.explode(
-        F.array(*[F.struct(F.lit(a).alias("labels"), F.lit(b).alias("path_length")) for a, b in sorted(shapes)])
-    )
-    tried = (
-        parts.withColumn("host_labels", F.split("host", r"\."))
-        .withColumn("shape", shape)
-        .where("size(host_labels) >= shape.labels and char_length(path) >= shape.path_length")
+    sizes = F.octet_length("rule_host") + F.octet_length("rule_path")
+    count, size = listed.agg(F.count(F.lit(1)), F.sum(sizes)).first()
+    few = count <= BROADCAST_RULES and size <= BROADCAST_BYTES
+
+    def exact(side: DataFrame) -> DataFrame:
+        return F.broadcast(side) if few else side.hint("shuffle_hash")
+
+    tried = parts.withColumn("host_labels", F.split("host", r"\.")).withColumn(
+        "labels", F.explode(F.array(*[F.lit(number) for number in labels]))
     )
-    suffix = F.array_join(F.slice("host_labels", -F.col("shape.labels"), F.col("shape.labels")), ".")
-    prefix = F.substring(F.col("path"), F.lit(1), F.col("shape.path_length"))
-    candidates = tried.select(
-        "host",
-        "path",
-        F.col("shape.labels").alias("labels"),
-        F.col("shape.path_length").alias("path_length"),
-        F.concat(suffix, prefix).alias("key"),
+    suffix = F.array_join(F.slice("host_labels", -F.col("labels"), F.col("labels")), ".")
+    suffixes = tried.where("size(host_labels) >= labels").select("host", "path", suffix.alias("rule_host"))
+    under = written(listed.select("rule_host", "path_length").distinct(), "url-hosts")
+    hosts = probed(suffixes, under.select("rule_host").distinct(), "rule_host").join(exact(under), "rule_host")
+    rule_path = F.substring(F.col("path"), F.lit(1), F.col("path_length"))
+    candidates = (
+        hosts.where("char_length(path) >= path_length")
+        .withColumn("rule_path", rule_path)
+        .withColumn("key", F.concat("rule_host", "rule_path"))
     )
-    blocks = max(1, -(-count // KEYS_PER_BLOCK))
-    filter_ = written(bloom_filter(listed, blocks), "url-bloom")
-    hits = possible_hits(candidates, filter_, blocks)
-    exact = broadcast_if_small(listed, BROADCAST_RULES)
-    exact = listed.hint("shuffle_hash") if exact is None else exact
-    found = hits.join(exact, ["key", "labels", "path_length"])
-    order = F.struct(F.char_length("key"), "host_length", "verdict")
+    hits = probed(candidates, listed.select(F.concat("rule_host", "rule_path").alias("key")), "key")
+    found = hits.join(exact(listed.select("rule_host", "rule_path", "verdict")), ["rule_host", "rule_path"])
+    order = F.struct(F.char_length("key"), F.char_length("rule_host"), "verdict")
     best = found.groupBy("host", "path").agg(F.max_by(F.struct("key", "verdict"), order).alias("best"))
     return best.select("host", "path", F.col("best.key").alias("rule"), F.col("best.verdict").alias("verdict"))
 
@@ -152,7 +154,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
     rows = pages.select(
         F.struct("*").alias("page"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path")
     )
-    verdicts = url_verdicts(rows, rules)
+    # written: a join right above its side's aggregation is not split where a URL is frequent
+    verdicts = written(url_verdicts(rows, rules), "url-verdicts")
     judged = rows.join(verdicts, ["host", "path"], "left")
     return judged.select(
         "page", "host", "path", "rule", F.coalesce("verdict", F.lit(OTHERWISE)).alias("verdict")
