@@ -265,6 +265,32 @@ def test_suffix_dedup(spark, docs, corpus, monkeypatch, crowd):
         assert sorted(map(tuple, cleaned.collect()), key=repr) == sorted(wanted, key=repr)
 
 
+def test_refinement_by_later_offsets_is_exact():
+    chance = random.Random(12)
+    length = suffix_dedup.LENGTH
+    data = bytearray("".join(chance.choice("ab") for _ in range(700)).encode() * 3 + b"a" * 900)
+    data[1000] ^= 1
+    places = np.arange(len(data) - length + 1)
+    found = suffix_dedup.string_ranks(np.frombuffer(bytes(data), np.uint8), places)
+    strings = [bytes(data[i : i + length]) for i in places]
+    assert len(set(found.tolist())) == len(set(strings)) == len(set(zip(found.tolist(), strings, strict=True)))
+    assert len(suffix_dedup.string_ranks(np.zeros(0, np.uint8), places[:0])) == 0
+
+
+def test_a_weak_hash_of_grams_joins_buckets_but_never_texts(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "named", lambda x, y: (x * np.uint64(31) + y) << np.uint64(60))
+    chance = random.Random(13)
+    base = "".join(chance.choice("abcde ") for _ in range(1500))
+    texts = [base, base[:700] + "X" + base[700:], "y" + base[300:900], base]
+    batch = pa.record_batch([pa.array(range(4)), pa.array(range(4)), pa.array(texts)], ["row_id", "tag", "text"])
+    kinds = {}
+    for block in pa.Table.from_batches(suffix_dedup._blocks(1 << 20)([batch])).to_pylist():
+        text = texts[block["row_id"]].encode()
+        whole = text[block["start"] : block["start"] + block["strings"] + suffix_dedup.LENGTH - 1]
+        assert kinds.setdefault((block["block"], block["more"]), whole) == whole
+    assert 1 < len(kinds) == len(set(kinds.values()))
+
+
 def test_suffix_dedup_gives_bytes_and_spans(docs, empty):
     row = next(r for r in suffix_dedup.without_repeats(docs).collect() if r["doc_id"] == 13)
     assert row["kept"] == b"" and [tuple(span) for span in row["removed"]] == [(0, 900)]

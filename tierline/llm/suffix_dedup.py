@@ -1,11 +1,9 @@
 """Removal of long repeated byte strings by bucket-pointer refinement.
 
 A byte goes if a string of LENGTH bytes that covers it also starts anywhere else, in another document or
-in the same one. Strings are put into buckets by their first bytes and refined by the buckets of later
-offsets: the identifier of 2n bytes at a place is made of the identifiers of n bytes there and n bytes
-further on, so each round reuses the last one's. Identifiers are 64-bit hashes rather than ranks, because
-tasks must agree on them without a global numbering; two different strings of a bucket share one with a
-probability below 2^-60.
+in the same one. Strings are put into buckets by a q-gram and refined by the buckets of later offsets: the rank
+of 2n bytes at a place is that of the pair of ranks of n bytes there and n bytes further on, so each round
+sorts by what the last one found.
 
 Only some places enter buckets. Each string has an anchor, the place within it whose q-gram has the
 smallest identifier, so equal strings have equal anchors. Neighbouring strings with one anchor are a block,
@@ -14,13 +12,16 @@ and a row of the first bucket table, keyed by the anchor's q-gram:
 1. Buckets of one row are done: nothing there repeats. Rows equal in the whole block are done, too: all of
    their strings repeat. This settles the inside of every repeated passage without moving its text.
 2. What is left are blocks that share a q-gram but differ, at the ends of passages. The different blocks
-   of a bucket fetch their bytes, and the bucket is refined string by string, at equal distance from the
-   anchor.
+   of a bucket fetch their bytes, and the bucket is refined string by string.
+
+Nothing goes by a weak hash. q-grams are hashed to 64 bits, where a collision only joins two buckets; whole
+blocks, whose bytes never meet, are told apart by a cryptographic digest of 128 bits of their bytes; ranks in a
+bucket start from the bytes themselves and are exact.
 
 Skew: no task gets the rows of a first bucket. Buckets and their kinds of blocks are counted, combined before
 the shuffle, and the counts come back to the rows by equality joins, which are broadcast where the counts are
 few and split by adaptive execution where a q-gram is frequent. A bucket with more than MOST_BLOCKS different
-blocks is not refined in one task; its strings are counted by identifier, combined before the shuffle.
+blocks is not refined in one task; its strings are counted by their digests, combined before the shuffle.
 
 Edge cases: NULL counts as empty; texts below LENGTH bytes lose nothing; repeated rows repeat each other;
 texts of one repeated character are handled like any other; very long texts are cut into overlapping slices; an
@@ -57,27 +58,20 @@ def named(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def refined(data: np.ndarray, wanted: tuple[int, ...]) -> dict[int, np.ndarray]:
-    """Identifiers of the strings of each wanted length (powers of two) at every place of `data`."""
+def grams_of(data: np.ndarray) -> np.ndarray:
+    """Identifiers of the GRAM bytes (a power of two) at every place of `data`."""
     ids, length = data.astype(np.uint64) + np.uint64(1), 1
-    found = {}
-    while True:
-        if length in wanted:
-            found[length] = ids
-        if length == max(wanted):
-            return found
+    while length < GRAM:
         ids = named(ids[: max(0, len(ids) - length)], ids[length:])
         length *= 2
+    return ids
 
 
-def spanned(ids: dict[int, np.ndarray], start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-    """Identifiers of strings of any length from 128 to 512: of their first and last power of two."""
-    length = np.broadcast_to(np.asarray(length), start.shape)
-    found = np.empty(len(start), np.uint64)
-    for half, rows in ((128, length < 256), (256, length >= 256)):
-        at, size = start[rows], length[rows]
-        found[rows] = named(ids[half][at], ids[half][at + size - half]) if rows.any() else 0
-    return named(found, length.astype(np.uint64))
+def digests(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128 bits for each of the strings data[begin:end], as two integers."""
+    view = memoryview(np.ascontiguousarray(data))
+    found = [hashlib.blake2b(view[a:z], digest_size=16).digest() for a, z in zip(begin.tolist(), end.tolist(), strict=True)]
+    return np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -93,10 +87,9 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def blocks_of(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> dict[str, np.ndarray]:
-    """The blocks of strings that start in [first, last) of each text in `data`: start, strings, anchor
-    (from the start), gram and block (identifiers), text (its number)."""
-    ids = refined(data, (GRAM, 128, 256))
-    keys = (ids[GRAM] & ~PLACE) | np.arange(len(ids[GRAM]), dtype=np.uint64)
+    """The blocks of strings that start in [first, last) of each text in `data`: start, strings, gram (identifier), block and more (digest), text (its number)."""
+    ids = grams_of(data)
+    keys = (ids & ~PLACE) | np.arange(len(ids), dtype=np.uint64)
     smallest = sliding_minimum(keys, LENGTH - GRAM + 1)
     counts = last - first
     text = np.repeat(np.arange(len(first)), counts)
@@ -107,10 +100,9 @@ def blocks_of(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> dict[str
     begin = np.flatnonzero(new)
     strings = np.diff(np.append(begin, len(starts)))
     start, anchor, text = starts[begin], anchor[begin], text[begin]
-    gram = ids[GRAM][anchor]
-    whole = spanned(ids, start, strings + LENGTH - 1)
-    block = named(whole, (anchor - start).astype(np.uint64))
-    return {"start": start, "strings": strings, "anchor": anchor - start, "gram": gram, "block": block, "text": text}
+    block, more = digests(data, start, start + strings + LENGTH - 1).T
+    gram = ids[anchor].view(np.int64)
+    return {"start": start, "strings": strings, "gram": gram, "block": block, "more": more, "text": text}
 
 
 def slices(starts: np.ndarray, most: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -132,7 +124,7 @@ def slices(starts: np.ndarray, most: int) -> Iterator[list[tuple[int, int, int]]
         yield group
 
 
-BLOCK = "row_id bigint, tag bigint, start int, strings int, anchor int, gram bigint, block bigint"
+BLOCK = "row_id bigint, tag bigint, start int, strings int, gram bigint, block bigint, more bigint"
 
 
 def _blocks(most: int):
@@ -148,9 +140,9 @@ def _blocks(most: int):
                 shift = np.array([a for _, a, _ in group])[found["text"]] - first[found["text"]]
                 rows = batch.select(["row_id", "tag"]).take(pa.array(owner))
                 columns = [pa.array((found["start"] + shift).astype(np.int32))]
-                columns += [pa.array(found[name].astype(np.int32)) for name in ("strings", "anchor")]
-                columns += [pa.array(found[name].view(np.int64)) for name in ("gram", "block")]
-                names = ["row_id", "tag", "start", "strings", "anchor", "gram", "block"]
+                columns += [pa.array(found["strings"].astype(np.int32))]
+                columns += [pa.array(found[name]) for name in ("gram", "block", "more")]
+                names = ["row_id", "tag", "start", "strings", "gram", "block", "more"]
                 yield pa.record_batch([*rows.columns, *columns], names)
 
     return cut
@@ -159,32 +151,31 @@ def _blocks(most: int):
 def bucketed(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Blocks that repeat as a whole (all their strings go), and blocks that must be refined: one of each kind
     in buckets of several kinds. Blocks alone in their bucket are neither."""
-    figures = blocks.groupBy("gram").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("block").alias("least"), F.max("block").alias("most")
-    )
+    bounds = [bound(name).alias(f"{bound.__name__}_{name}") for bound in (F.min, F.max) for name in ("block", "more")]
+    figures = blocks.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"), *bounds)
     # written: a join right above its side's aggregation is not split where a key is frequent
-    several = (F.col("least") != F.col("most")).alias("several")
+    several = F.expr("min_block <> max_block or min_more <> max_more").alias("several")
     shared = written(figures.where("rows > 1").select("gram", several), "bucket-figures")
     told = written(blocks.join(shared, "gram"), "shared-grams")
     of_several = told.where("several").drop("several")
-    of_kind = [F.first(name).alias(name) for name in ("row_id", "tag", "start", "strings", "anchor")]
-    kinds = of_several.groupBy("gram", "block").agg(F.count(F.lit(1)).alias("rows"), *of_kind)
+    of_kind = [F.first(name).alias(name) for name in ("row_id", "tag", "start", "strings")]
+    kinds = of_several.groupBy("gram", "block", "more").agg(F.count(F.lit(1)).alias("rows"), *of_kind)
     kinds = written(kinds, "kinds")
-    again = kinds.where("rows > 1").select("gram", "block")
+    again = kinds.where("rows > 1").select("gram", "block", "more")
     few = broadcast_if_small(again, BROADCAST_KINDS)
     again = again if few is None else few
     repeats = told.where("not several").drop("several").unionByName(
-        of_several.join(again, ["gram", "block"], "left_semi")
+        of_several.join(again, ["gram", "block", "more"], "left_semi")
     )
-    return repeats.select("row_id", "tag", "start", "strings"), kinds.drop("block", "rows")
+    return repeats.select("row_id", "tag", "start", "strings"), kinds.drop("block", "more", "rows")
 
 
-REFINED = "row_id bigint, tag bigint, start int, strings int, anchor int, gram bigint, bytes binary"
+REFINED = "row_id bigint, tag bigint, start int, strings int, gram bigint, bytes binary"
 
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the blocks that a text's row lists."""
-    names = ["start", "strings", "anchor", "gram"]
+    names = ["start", "strings", "gram"]
     for batch in batches:
         whole, starts = text_bytes(batch.column("text"))
         asked = batch.column("asked")
@@ -199,20 +190,41 @@ def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(out, ["row_id", "tag", *names, "bytes"])
 
 
-def string_ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each string of the table's blocks: the block's row, its number within the block, and the identifier
-    of bucket, distance from the anchor and bytes."""
-    pieces = table.column("bytes").to_pylist()
+def strings_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of the table's blocks end to end, and of each string its place there, its block's row and its
+    number within the block."""
+    data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
     strings = table.column("strings").to_numpy().astype(np.int64)
-    data = np.frombuffer(b"".join(pieces) + bytes(256), np.uint8)
     sizes = strings + LENGTH - 1
     first = np.cumsum(sizes) - sizes
     row = np.repeat(np.arange(len(table)), strings)
     number = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings)
-    ids = spanned(refined(data, (128, 256)), first[row] + number, LENGTH)
-    distance = (table.column("anchor").to_numpy()[row] - number).astype(np.uint64)
-    gram = table.column("gram").to_numpy().view(np.uint64)[row]
-    return row, number, named(named(ids, distance), gram)
+    return data, first[row] + number, row, number
+
+
+def ranks(values: np.ndarray) -> np.ndarray:
+    return np.unique(values, return_inverse=True)[1].astype(np.uint64)
+
+
+def pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Two ranks, each below 2^32, as one number."""
+    return (left << np.uint64(32)) | right
+
+
+def string_ranks(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A number for each string of LENGTH bytes that starts at `places`: equal for equal bytes only.
+
+    Places are bucketed by their first eight bytes; each round refines the buckets by sorting on those of a
+    later offset, as many bytes on as a bucket already has in common.
+    """
+    if len(places) == 0:
+        return np.zeros(0, np.uint64)
+    eights = np.lib.stride_tricks.sliding_window_view(data, 8)
+    rank, length = ranks(np.ascontiguousarray(eights).view("<u8").ravel()), 8
+    while 2 * length <= LENGTH:
+        rank = ranks(pairs(rank[:-length], rank[length:]))
+        length *= 2
+    return pairs(rank[places], rank[places + LENGTH - length])
 
 
 def runs_of(row: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,14 +252,11 @@ def _refine(most_bytes: int):
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_runs(batches, ["gram"]):
             for part in parts_of(table, most_bytes):
-                row, number, ids = string_ids(part)
-                ordered = np.sort(ids)
-                repeated = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-                if len(repeated) == 0:
-                    continue
-                at = np.searchsorted(repeated, ids).clip(max=len(repeated) - 1)
-                again = repeated[at] == ids
-                yield from _spans(part, row[again], number[again])
+                data, places, row, number = strings_of(part)
+                _, at, rows = np.unique(string_ranks(data, places), return_inverse=True, return_counts=True)
+                again = rows[at] > 1
+                if again.any():
+                    yield from _spans(part, row[again], number[again])
 
     return refine
 
@@ -265,15 +274,16 @@ def parts_of(table: pa.Table, most_bytes: int) -> Iterator[pa.Table]:
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every string of large buckets' blocks, as identifier and place."""
+    """Every string of large buckets' blocks, as digest and place."""
     for batch in batches:
         table = pa.Table.from_batches([batch])
         for start in range(0, len(table), 4096):
             part = table.slice(start, 4096)
-            row, number, ids = string_ids(part)
+            data, places, row, number = strings_of(part)
             rows = part.select(["row_id", "tag"]).take(pa.array(row)).combine_chunks()
             place = (part.column("start").to_numpy()[row] + number).astype(np.int32)
-            out = pa.table([*rows.columns, pa.array(place), pa.array(ids.view(np.int64))], ["row_id", "tag", "start", "id"])
+            names = digests(data, places, places + LENGTH).T
+            out = pa.table([*rows.columns, pa.array(place), *map(pa.array, names)], ["row_id", "tag", "start", "id", "more"])
             yield from out.to_batches()
 
 
@@ -289,7 +299,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     long = texts.where(F.octet_length("text") >= LENGTH).select("row_id", "tag", "text")
     spans, asks = bucketed(written(long.mapInArrow(_blocks(SLICE), BLOCK), "blocks"))
     asked = asks.groupBy("row_id", "tag").agg(
-        F.collect_set(F.struct("start", "strings", "anchor", "gram")).alias("asked")
+        F.collect_set(F.struct("start", "strings", "gram")).alias("asked")
     )
     # texts move once for all buckets; the bytes of the blocks are few
     found = long.join(asked, ["row_id", "tag"]).dropDuplicates(["row_id", "tag"])
@@ -302,11 +312,14 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         large = crowded if small is None else small
         few = blocks.join(large, "gram", "left_anti")
         strings = written(
-            blocks.join(large, "gram", "left_semi").mapInArrow(_listed, "row_id bigint, tag bigint, start int, id bigint"),
+            blocks.join(large, "gram", "left_semi").mapInArrow(
+                _listed, "row_id bigint, tag bigint, start int, id bigint, more bigint"
+            ),
             "crowded-strings",
         )
-        again = strings.groupBy("id").count().where(F.col("count") > 1).select("id")
-        singles = strings.join(again, "id", "left_semi").select("row_id", "tag", "start", F.lit(1).alias("strings"))
+        again = strings.groupBy("id", "more").count().where(F.col("count") > 1).select("id", "more")
+        again = written(again, "crowded-repeats")
+        singles = strings.join(again, ["id", "more"], "left_semi").select("row_id", "tag", "start", F.lit(1).alias("strings"))
         spans = spans.unionByName(singles)
     in_order = few.repartition("gram").sortWithinPartitions("gram")
     spans = spans.unionByName(in_order.mapInArrow(_refine(SLICE), SPAN))
