@@ -72,6 +72,31 @@ def test_larger_factors_visit_less_and_production_recall_is_high():
     assert np.mean([len(set(top[q]) & set(tree.ids[tree.id_starts[rough[q]]])) for q in range(50)]) > 3
 
 
+def test_queries_visit_only_cells_that_their_bound_reaches(spark, monkeypatch):
+    chance = np.random.default_rng(6)
+    centres = chance.normal(size=(12, 6)) * 10
+    points = np.repeat(centres, 200, 0) + chance.normal(size=(2400, 6))
+    rows = [(i, [float(x) for x in point], "x") for i, point in enumerate(points)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, score string").repartition(3)
+    visits, build = [], vantage.written
+
+    def noted(df, name):
+        out = build(df, name)
+        if name == "visits":
+            visits.append(out.count())
+        return out
+
+    monkeypatch.setattr(vantage, "written", noted)
+    asked = frame.where("vec_id % 20 = 0")
+    exact = exact_neighbours(rows, {i for i, _, _ in rows if i % 20 == 0}, 10)
+    found = {tuple(r) for r in vantage.nearest(frame, asked, 10, 1.0, shard_rows=200, block_rows=16).collect()}
+    assert found == exact
+    assert visits[0] == 120 and sum(visits) < 120 * 12 / 2  # of twelve cells each
+    wanted = {(q, i) for q, _, i, _ in exact}
+    rough = vantage.nearest(frame, asked, 10, shard_rows=200, block_rows=16).collect()
+    assert len({(r["query_id"], r["vec_id"]) for r in rough} & wanted) >= 0.9 * len(wanted)
+
+
 def test_ties_go_to_the_smaller_id():
     chance = np.random.default_rng(3)
     points = np.column_stack([np.ones(600), chance.integers(0, 50, (600, 3))]).astype(float)  # all tie for the query
