@@ -474,3 +474,35 @@ ORACLE["snk5_documentation"] = of_rows(
         for table, scope, comment in _COMMENTS
     )
 )
+
+# What each feed's files call their columns, and what fills them (fixed values).
+_RAW = {"entity_code": "entity_id", "party_size": "party_size", "total_amount": "total_amount", "source_file": "source_file"}
+_RAW_OF = {
+    feed: {**_RAW, f"{feed}_start_ts": "start_ts", f"{feed}_end_ts": "end_ts", **extra}
+    for feed, extra in (("a", {"surcharge": "surcharge"}), ("b", {"status": "status"}), ("c", {}))
+}
+_CANONICAL_OF = {"entity_id": "entity_id", "party_size": "party_size", "total_amount": "amount", "start_ts": "start_ts", "end_ts": "end_ts"}
+ORACLE["sc12_lowercase_names"] = of_rows(
+    " union all ".join(
+        f"""select '{feed}' as feed, '{name}' as column_name, count({value}) as filled from rows where feed = '{feed}'"""
+        for feed, columns in _RAW_OF.items()
+        for name, value in columns.items()
+    )
+)
+ORACLE["prj4_feed_columns"] = of_rows(
+    " union all ".join(
+        f"""select '{feed}' as feed, '{_CANONICAL_OF[value]}' as canonical, '{name}' as raw_column, count({value}) as filled
+        from rows where feed = '{feed}'"""
+        for feed, columns in _RAW_OF.items()
+        for name, value in columns.items()
+        if value in _CANONICAL_OF
+    )
+)
+ORACLE["flt1_inserts_only"] = of_rows(
+    " union all ".join(
+        f"""select {table} as "table", {version} as _source_version, {COUNT} as inserted from rows group by all"""
+        for table, version in (
+            ("'bronze_' || feed", "bronze_version"), ("'silver'", "silver_version"), ("'gold'", "gold_version")
+        )
+    )
+)

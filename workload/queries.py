@@ -452,6 +452,30 @@ def prj3_gold_projection(layers: Layers) -> DataFrame:
     return gold_rows(C.to_gold(layers.silver.read_inserts_since(0)))
 
 
+def filled_columns(rows: DataFrame, name: str) -> DataFrame:
+    """A row per column: its name, and how many rows fill it."""
+    return rows.agg(*[F.count(column).alias(column) for column in rows.columns]).unpivot([], rows.columns, name, "filled")
+
+
+@on_layers
+def prj4_feed_columns(layers: Layers) -> DataFrame:
+    """The raw column behind each canonical one, as the feed's spec names it, and how many rows fill it."""
+
+    def mapped(rows: DataFrame, feed: FeedSpec) -> DataFrame:
+        raw = {
+            "entity_id": feed.entity_col,
+            "party_size": feed.party_col,
+            "amount": feed.amount_col,
+            "start_ts": feed.start_col,
+            "end_ts": feed.end_col,
+        }
+        names = F.create_map(*[F.lit(name) for pair in raw.items() for name in pair])
+        filled = filled_columns(rows.select(*[F.col(column).alias(name) for name, column in raw.items()]), "canonical")
+        return filled.withColumn("raw_column", F.element_at(names, F.col("canonical")))
+
+    return over_bronze(layers, mapped)
+
+
 @on_layers
 def prj5_validity_flag(layers: Layers) -> DataFrame:
     flagged = over_bronze(
@@ -469,6 +493,14 @@ def prj6_identifier_parameter(layers: Layers) -> DataFrame:
     return A.value_range(picked, "start_ts", "feed", "source_file", first="earliest", last="latest")
 
 
+@on_layers
+def flt1_inserts_only(layers: Layers) -> DataFrame:
+    """The change batches of every table: rows that each version inserted. Nothing else changes a table."""
+    return every_table(
+        layers, lambda table: A.count_rows(table.read_inserts_since(0), "_source_version", alias="inserted")
+    )
+
+
 @on_layers
 def flt2_period_filter(layers: Layers) -> DataFrame:
     scope = questions.in_months(layers.gold.read(), YEAR, FIRST, LAST).where(F.col("feed") == FEED)
@@ -849,6 +881,18 @@ def sc11_literal_label(layers: Layers) -> DataFrame:
     return over_bronze(layers, lambda rows, feed: A.count_rows(rows).withColumn("layer", F.lit("bronze")))
 
 
+@on_layers
+def sc12_lowercase_names(layers: Layers) -> DataFrame:
+    """The columns of all landed files under their lowercased names, and how many rows fill them. Feed b's
+    parts write one name in two ways."""
+
+    def columns(feed: str) -> DataFrame:
+        read = landing.read_new_files(layers.spark, layers.landing(feed), landed_names(layers, feed))
+        return filled_columns(read, "column_name")
+
+    return per_feed(columns)
+
+
 @on_layers
 def sc13_month_index(layers: Layers) -> DataFrame:
     index = E.month_index(F.col("year"), F.col("month")).alias("month_index")
