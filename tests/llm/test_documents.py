@@ -104,6 +104,26 @@ def test_mix_emits_what_it_says_and_agrees_with_itself(docs, empty):
     assert sorted(map(repr, rows.collect())) == sorted(map(repr, mixing.mix(docs).collect()))
 
 
+@pytest.mark.parametrize("parts", ["3", "40"])
+def test_many_sources_are_summed_in_ranges(spark, parts):
+    chance = random.Random(4)
+    names = [f"s{i}" for i in range(500)] + ["\u00e9", "\uff5e", "\U0001f600", "", None]
+    sizes = {name: chance.choice([0, 7, 7, 50, chance.randrange(1, 3000)]) for name in names}
+    rows = [(name, part) for name, size in sizes.items() for part in (size - size // 3, size // 3)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = mixing.source_rates(spark.createDataFrame(rows, "source string, size bigint")).collect()
+        again = mixing.source_rates(spark.createDataFrame(rows[::-1], "source string, size bigint")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    wanted = water_filled(sizes)
+    assert sorted(found, key=repr) == sorted(again, key=repr) and len(found) == len(sizes)
+    for row in found:
+        assert row["source_size"] == sizes[row["source"]] and row["target"] == pytest.approx(wanted[row["source"]])
+    assert sum(row["target"] for row in found) == pytest.approx(1.5 * sum(sizes.values()))
+
+
 # exact dedup
 
 
@@ -125,6 +145,17 @@ def test_exact_groups(docs, corpus, bits, monkeypatch):
         assert sum(r["kept"] for r in found) == len(members)
 
 
+def test_rows_equal_in_id_and_text_never_meet(spark):
+    rows = [(7, "Same text", i) for i in range(300)] + [(None, "same text", i) for i in range(40)]
+    rows += [(None, "no id", i) for i in range(50)] + [(3, "alone", 0)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, keep_row int").repartition(5)
+    groups = exact_dedup.exact_groups(frame)
+    assert "Window" not in groups._jdf.queryExecution().executedPlan().toString()
+    kept = collections.Counter((r["doc_id"], r["keep_id"], r["group_size"]) for r in groups.collect() if r["kept"])
+    assert kept == {(7, 7, 340): 1, (None, None, 50): 1, (3, 3, 1): 1} and groups.count() == len(rows)
+    assert sorted(map(repr, [r["doc_id"] for r in exact_dedup.exact_dedup(frame).collect()])) == ["3", "7", "None"]
+
+
 def test_chunks_are_the_text(docs):
     cut = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     cut = cut.withColumn("chunks", exact_dedup.chunks(F.col("text")))

@@ -6,19 +6,21 @@ of the document's id, so reruns and retried tasks agree. DataFrame functions onl
 
 Skew: sums are combined before the shuffle. The table of rates has a row per source; it is broadcast
 after a check of its size, and beyond that joined with the documents under a salted key, so a hot
-source is dealt over many tasks.
+source is dealt over many tasks. Sources are numbered, and their sizes and weights summed up, range by range;
+the driver sees two totals and the level.
 
 Edge cases: a NULL text has size 0; a NULL source is a source of its own and comes last; documents of
 size 0 follow their source's rate; a source of size 0 has target 0 and rate 0; repeated rows are drawn
-as one; documents without an id are drawn by their content; an empty table gives an empty mix.
+as one; documents without an id are drawn by their content; very long texts are counted in place, once;
+extra columns of any name and type are kept in a struct of their own; an empty table gives an empty mix.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.support import broadcast_if_small, written
+from tierline.llm.support import broadcast_if_small, running_sums, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -52,26 +54,23 @@ def source_rates(
     totals = sized.groupBy(F.col(source).cast("string").alias("source")).agg(
         F.sum(size).cast("bigint").alias("source_size")
     )
-    in_order = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(in_order) - 1) % len(weights)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn + 1).cast("int"))
-    weighed = totals.withColumn("weight", weight).withColumn("most", cap * F.col("source_size"))
-    everything = Window.partitionBy()
-    by_stop = Window.orderBy("stop", F.col("source").asc_nulls_last())
-    before = by_stop.rowsBetween(Window.unboundedPreceding, -1)
+    counted = totals.select(F.col("source").isNull().alias("none"), "*", F.lit(1).alias("one"))
+    in_turn = running_sums(written(counted, "mix-totals"), ["none", "source"], ["one"], "mix-in-turn")
+    turn = F.col("before_one") % len(weights) + 1
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn.cast("int"))
+    weighed = in_turn.withColumn("weight", weight).withColumn("most", cap * F.col("source_size"))
     stops = weighed.withColumn("stop", F.col("most") / F.col("weight"))
-    left = F.sum(F.col("source_size")).over(everything) * share - F.coalesce(
-        F.sum("most").over(before), F.lit(0.0)
-    )
-    open_weight = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    levels = stops.withColumn("level", left / open_weight).withColumn(
-        "place", F.row_number().over(by_stop)
-    )
-    first_open = F.min(F.when(F.col("level") <= F.col("stop"), F.struct("place", "level"))).over(everything)
-    settled = levels.withColumn("first_open", first_open)
-    is_open = F.col("place") >= F.col("first_open.place")
-    target = F.when(is_open, F.col("weight") * F.col("first_open.level")).otherwise(F.col("most"))
-    return settled.select(
+    stops = running_sums(stops, ["stop", "none", "source"], ["most", "weight"], "mix-stops")
+    whole = stops.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    left = F.lit(share * (whole["size"] or 0)) - F.col("before_most")
+    open_weight = F.lit(whole["weight"] or 0.0) - F.col("before_weight")
+    levels = stops.select("stop", (left / open_weight).alias("level")).where("level <= stop")
+    first_open = levels.agg(F.min(F.struct("stop", "level")).alias("least")).first()["least"]
+    target = F.col("most")
+    if first_open is not None:  # else every source stops at its cap
+        is_open = F.col("stop") >= first_open["stop"]
+        target = F.when(is_open, F.col("weight") * first_open["level"]).otherwise(target)
+    return stops.select(
         "source",
         "source_size",
         target.alias("target"),

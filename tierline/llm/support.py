@@ -145,3 +145,21 @@ def numbered(df: DataFrame, groups: list[str], order: list[str], name: str) -> D
         same &= F.col(key).eqNullSafe(F.col(f"_{key}"))
     joined = rows.join(parts, same)
     return joined.select(*df.columns, (F.col("_at") + F.col("shift")).alias("place"), "size")
+
+
+def running_sums(df: DataFrame, order: list[str], sums: list[str], name: str) -> DataFrame:
+    """`df` with `before_<column>` for each of `sums`: the column's sum over all rows that come earlier in the
+    order of `order`, which must tell rows apart.
+
+    Rows are sorted by ranges and written; a row's sum is that of its range so far after the sums of earlier
+    ranges, of which there is a row each. `df` is read twice, as `numbered` reads it.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(ranged.withColumn("_part", F.spark_partition_id()), name)
+    parts = rows.groupBy(F.col("_part").alias("_of")).agg(*[F.sum(key).alias(f"_{key}") for key in sums])
+    earlier = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_of", *[F.coalesce(F.sum(f"_{key}").over(earlier), F.lit(0)).alias(f"_{key}") for key in sums])
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = {f"before_{key}": F.coalesce(F.sum(key).over(inside), F.lit(0)) for key in sums}
+    joined = rows.withColumns(own).join(parts, F.col("_part") == F.col("_of"))
+    return joined.select(*df.columns, *[(F.col(f"before_{key}") + F.col(f"_{key}")).alias(f"before_{key}") for key in sums])
