@@ -145,6 +145,24 @@ def test_exact_groups(docs, corpus, bits, monkeypatch):
         assert sum(r["kept"] for r in found) == len(members)
 
 
+@pytest.mark.parametrize(
+    "word, gap",
+    [
+        (lambda c: "".join(c.choices("abcdefghijklmnopqrstuvwxyz", k=6)), " "),
+        (lambda c: str(c.randrange(10**6)), " "),
+        (lambda c: "".join(map(chr, c.choices(range(0x430, 0x450), k=7))), " "),
+        (lambda c: "".join(map(chr, c.choices(range(0x4E00, 0x9000), k=9))), "\u3002"),
+    ],
+)
+def test_shifted_copies_share_chunks_in_any_script(spark, word, gap):
+    chance = random.Random(6)
+    text = gap.join(word(chance) for _ in range(3000))
+    frame = spark.createDataFrame([(1, text), (2, "shift " + text)], "doc_id bigint, text string")
+    of = [r[0] for r in frame.orderBy("doc_id").select(exact_dedup.chunks(F.col("text"))).collect()]
+    assert "".join(of[0]) == text and len(of[0]) >= 15
+    assert len(set(of[0]) & set(of[1])) > 0.8 * len(of[0])
+
+
 def test_rows_equal_in_id_and_text_never_meet(spark):
     rows = [(7, "Same text", i) for i in range(300)] + [(None, "same text", i) for i in range(40)]
     rows += [(None, "no id", i) for i in range(50)] + [(3, "alone", 0)]

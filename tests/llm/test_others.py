@@ -1,8 +1,11 @@
 """Nearest neighbours, URL filter, preference pairs, toxicity, the shared helpers, the pipeline."""
 
 import collections
+import hashlib
+import math
 import os
 import random
+import re
 import zlib
 from types import SimpleNamespace
 
@@ -306,6 +309,114 @@ def test_label_model_recovers_hidden_labels():
     assert posterior[hidden].mean() > 0.6 > 0.3 > posterior[~hidden].mean()
 
 
+def plain_fit(rows, labels):
+    """The toxicity model as its docstring words it, with plain loops."""
+    told = {}
+    for i, toxic in labels:
+        if i is not None and toxic in (0, 1) and zlib.crc32(str(i).encode()) % 4 != 2:
+            told[i] = max(toxic, told.get(i, 0))
+    labelled = {(text or "", told[i]) for i, text in rows if i in told}
+    counts = {0: collections.Counter(), 1: collections.Counter()}
+    total = collections.Counter(toxic for _, toxic in labelled)
+    for text, toxic in labelled:
+        words = set(re.findall(r"[^\W\d_]+", text.lower()))
+        counts[toxic].update({w for w in words} | {w[:n] + "*" for w in words for n in (3, 4, 5, 6) if len(w) >= n})
+    lift = {u: (n / total[1]) / ((counts[0][u] + 0.5) / total[0]) for u, n in counts[1].items() if n >= 3}
+    units = sorted((u for u in lift if lift[u] >= 4), key=lambda u: (-counts[1][u] * math.log(lift[u]), u))
+
+    by_id = {}
+    for i, text in rows:
+        if i in told:
+            by_id.setdefault(i, []).append(text or "")
+    sample = [(min(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest()), told[i]) for i, texts in by_id.items()]
+    fires = [{u for u in units if unit_fires(u, text)} for text, _ in sample]
+    chosen, short = [], [3] * len(sample)
+    while True:
+        gain = {
+            u: sum(short[k] > 0 and u in fires[k] for k in range(len(sample)) if sample[k][1])
+            - 2 * sum(u in fires[k] for k in range(len(sample)) if not sample[k][1])
+            for u in units if u not in chosen
+        }
+        best = max(gain, key=gain.get, default=None)
+        if best is None or gain[best] <= 0:
+            break
+        chosen.append(best)
+        short = [n - (best in fired) for n, fired in zip(short, fires, strict=True)]
+
+    known = [toxic for _, toxic in sample]
+    votes = [[u in fired for u in chosen] + [bool(v) for v in toxicity.patterns(text, len(re.findall(r"[^\W\d_]+", text)))]
+             for (text, _), fired in zip(sample, fires, strict=True)]
+    n, m = len(votes), len(votes[0])
+    posterior = [0.9 * toxic + 0.05 for toxic in known]
+    for _ in range(20):
+        soft = [(p + toxic) / 2 for p, toxic in zip(posterior, known, strict=True)]
+        share = sum(soft) / n
+        spread, rates = [[0.0] * m for _ in range(m)], []
+        for weight in (soft, [1 - s for s in soft]):
+            rate = [min(max((sum(w for w, v in zip(weight, votes, strict=True) if v[j]) + 0.1) / (sum(weight) + 0.2), 1e-6), 1 - 1e-6) for j in range(m)]
+            rates.append(rate)
+            for j in range(m):
+                for k in range(m):
+                    both = sum(w for w, v in zip(weight, votes, strict=True) if v[j] and v[k])
+                    spread[j][k] += both - sum(weight) * rate[j] * rate[k]
+        scale = [math.sqrt(max(spread[j][j], 1e-9)) for j in range(m)]
+        near = [[min(max(spread[j][k] / scale[j] / scale[k], 0), 1) for k in range(m)] for j in range(m)]
+        near = [[x if x >= 0.3 else 0 for x in line] for line in near]
+        posterior = []
+        for v in votes:
+            logit = math.log(share / (1 - share))
+            for j in range(m):
+                if v[j]:
+                    logit += math.log(rates[0][j] / rates[1][j]) / max(1, sum(near[k][j] for k in range(m) if v[k]))
+                else:
+                    logit += math.log((1 - rates[0][j]) / (1 - rates[1][j])) / max(1, sum(near[j]))
+            posterior.append(1 / (1 + math.exp(-min(max(logit, -30), 30))))
+
+    inputs = np.array([plain_inputs(chosen, text) for text, _ in sample])
+    weights, ridge = np.zeros(inputs.shape[1]), np.full(inputs.shape[1], 0.5)
+    ridge[-1] = 1e-3
+    for _ in range(200):  # Newton steps to the optimum of the ridge-penalised likelihood
+        p = 1 / (1 + np.exp(-inputs @ weights))
+        slope = inputs.T @ (p - posterior) + ridge * weights
+        weights = weights - np.linalg.solve((inputs.T * (p * (1 - p))) @ inputs + np.diag(ridge), slope)
+    return chosen, weights
+
+
+def unit_fires(unit, text):
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    return any(w.startswith(unit[:-1]) for w in words) if unit.endswith("*") else unit in words
+
+
+def plain_inputs(lexicon, text):
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    hits = sum(any(unit_fires(u, w) for u in lexicon) for w in words)
+    return [*[unit_fires(u, text) for u in lexicon], hits > 0, math.log1p(hits), *toxicity.patterns(text, len(words)), 1.0]
+
+
+def test_scores_equal_a_plain_programme(spark):
+    chance = random.Random(9)
+    mild, vile = [f"calm{chr(97 + i)}" for i in range(20)], ["vilebrat", "vilely", "scum", "rotter", "grub"]
+    rows, labels = [], []
+    for i in range(160):
+        toxic = i % 4 == 0
+        words = chance.choices(mild, k=25) + chance.sample(vile, chance.choice([2, 3])) * toxic
+        words += chance.choices(vile, k=1) * (chance.random() < 0.05)
+        chance.shuffle(words)
+        text = " ".join(words).upper() if toxic and i % 3 == 0 else " ".join(words)
+        rows.append((i, text + "!!" * (toxic and i % 5 == 0)))
+        labels.append((i, int(toxic) if chance.random() < 0.95 else int(not toxic)))
+    rows += [rows[0], rows[3], (4, "another text of four, you scum, you"), (None, "vilely no id"), (500, None), (501, ""), (502, "grub " * 3000)]
+    labels += [(8, 0), (500, 0), (None, 1), (12, None), (900, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    lexicon, weights = plain_fit(rows, labels)
+    assert model.lexicon == lexicon and len(lexicon) > 3
+    wanted = sorted((repr(r), 1 / (1 + math.exp(-float(np.dot(plain_inputs(lexicon, r[1] or ""), weights))))) for r in rows)
+    found = sorted((repr((r["doc"]["doc_id"], r["doc"]["text"])), r["score"]) for r in toxicity.toxicity_scores(docs, model).collect())
+    assert [key for key, _ in found] == [key for key, _ in wanted]
+    assert [s for _, s in found] == pytest.approx([s for _, s in wanted], abs=2e-3)
+
+
 # helpers
 
 
@@ -332,8 +443,10 @@ def test_shared_folder_must_be_named_on_a_cluster():
         return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
     assert support.shared_folder(session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
-    with pytest.raises(RuntimeError, match="checkpoint"):
-        support.shared_folder(session("yarn", {}))
+    assert support.shared_folder(session("local", {})) == support.shared_folder(session("local[2]", {}))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            support.shared_folder(session(master, {}))
 
 
 # queries and pipeline

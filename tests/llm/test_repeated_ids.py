@@ -3,6 +3,7 @@
 import hashlib
 import random
 import string
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -14,6 +15,7 @@ from tierline.llm import toxicity
 from tierline.llm.exact_dedup import exact_dedup
 from tierline.llm.chosen_path import near_dedup
 from tierline.llm.suffix_dedup import LENGTH, without_repeats
+from tierline.llm.support import remove_written, scratch_folder, settled, written
 from tierline.llm.token_counts import token_counts
 
 
@@ -147,7 +149,11 @@ def test_every_stage_and_the_run_take_odd_rows(spark, tmp_path):
     wanted = [r for r in rows if model.score(voters.votes(r[1] or "")) < toxicity.THRESHOLD]
     assert clean.dtypes == docs.dtypes and sorted(map(repr, map(tuple, clean.collect()))) == sorted(map(repr, wanted))
 
-    # the run: what survives every stage is packed whole
+    # the run: what survives every stage is packed whole, and no stage but the last before packing leaves files
+    folder = Path(scratch_folder(spark))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    kept = corpus_pipeline.kept_by(spark, str(tmp_path), corpus_pipeline.STAGES[:-1])
+    assert [p.name.split("-")[1] for p in set(folder.iterdir()) - before] == ["mixing"] and kept.dtypes == docs.dtypes
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert packed and {r["doc_id"] for r in packed} <= {r[0] for r in rows}
     for sequence in {r["sequence_id"] for r in packed}:
@@ -160,3 +166,12 @@ def test_run_over_empty_tables(spark, tmp_path):
     spark.createDataFrame([], ODD).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_what_a_dead_driver_left_can_be_removed(spark):
+    folder = Path(scratch_folder(spark, "app-of-the-past"))
+    (folder / "chunks-1").mkdir(parents=True)
+    remove_written(spark, "app-of-the-past")
+    assert not folder.exists()
+    frame = settled(spark, "outer", lambda: written(spark.range(5), "inner").where("id > 1"))
+    assert frame.count() == 3 and "outer-" in frame.inputFiles()[0]

@@ -1,7 +1,8 @@
 """What several of the operators need: a shared folder, cut lineage, checked broadcasts, row groups, row numbers."""
 
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextvars import ContextVar
 from uuid import uuid4
 
 import numpy as np
@@ -9,9 +10,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierline.sources.files import remove_at_exit
+from tierline.sources.files import remove, remove_at_exit
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# what has been written on the way to the result of `settled`
+_on_the_way: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,24 +24,59 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         folder = f"{tempfile.gettempdir()}/tierline-llm"
     return folder.rstrip("/")
 
 
+def scratch_folder(spark: SparkSession, application_id: str | None = None) -> str:
+    """Where an application (this one, if none is named) keeps what it has written, in the shared folder."""
+    return f"{shared_folder(spark)}/llm-{application_id or spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet in the shared folder and read again, which cuts its lineage.
 
-    The files outlive lost executors and go when the session ends.
+    The files outlive lost executors. They go when the session ends, or earlier by `settled`; after a driver
+    that was killed, `remove_written` removes them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
-    remove_at_exit(spark, path)
+    folder = scratch_folder(spark)
+    path = f"{folder}/{name}-{uuid4().hex}"
+    remove_at_exit(spark, folder)
     df.write.mode("overwrite").parquet(path)
+    paths = _on_the_way.get()
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that `make` gives, `written`; then all that was written on the way to it is removed.
+
+    `make` must hand out no other frames. A `settled` frame that it reads is removed with the rest.
+    """
+    paths: list[str] = []
+    token = _on_the_way.set(paths)
+    try:
+        result = written(make(), name)
+    finally:
+        _on_the_way.reset(token)
+    outer = _on_the_way.get()
+    if outer is not None:
+        outer.append(paths[-1])
+    for path in paths[:-1]:
+        remove(spark, path)
+    return result
+
+
+def remove_written(spark: SparkSession, application_id: str | None = None) -> None:
+    """Remove all that an application has written: this one, or one whose driver is dead."""
+    remove(spark, scratch_folder(spark, application_id))
+
+
 def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame | None:
     """`df` hinted for broadcasting if it has at most `most_rows` rows, else None.
 
