@@ -47,7 +47,8 @@ LEAST_LIFT = 4.0  # times as common among label 1 as among label 0
 STEMS = (3, 4, 5, 6)  # lengths of word beginnings
 HELD_OUT = 2  # remainder by 4 of the id's checksum that never teaches
 THRESHOLD = 0.3
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000  # in a task: how each word votes
+COUNTED_TEXTS = 4096  # whose units are counted at a time
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -119,11 +120,12 @@ def _candidates(texts: DataFrame) -> list[str]:
     """Units that are much commoner among label 1, the most telling first. Of different (text, toxic)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (batch.slice(at, COUNTED_TEXTS) for batch in batches for at in range(0, batch.num_rows, COUNTED_TEXTS))
+        for part in parts:
             of: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, toxic in zip(part.column(0), part.column(1).to_pylist(), strict=True):
                 found: set[str] = set()
-                for word in set(WORD.findall(text.lower())):
+                for word in set(WORD.findall(text.as_py().lower())):
                     found |= units(word)
                 of[toxic].update(found)
             names = list(of[0].keys() | of[1].keys())
@@ -291,7 +293,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, text: str = "text") -
 
     def score(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in texts:
-            scores = [model.score(voters.votes(one)) for one in batch.column(1).to_pylist()]
+            scores = [model.score(voters.votes(one.as_py())) for one in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(scores, pa.float64())], ["doc", "score"])
 
     return row.mapInArrow(score, T.StructType([row.schema["doc"], T.StructField("score", T.DoubleType())]))
