@@ -146,6 +146,19 @@ def test_layout_is_chosen_per_commit(layers):
     assert values(files.groupBy("_commit_version").count()) == [(0, 1), (1, 3)]
 
 
+def test_tasks_of_a_range_layout_follow_the_rows_not_the_files(layers):
+    for month in range(1, 4):
+        land(layers, X, f"x_2020-0{month}.parquet", [float(month)] * 40)
+    ingest(layers, X)
+    conform(layers, [X], file_rows=5)
+    files = list(Path(layers.silver.path).rglob("feed=*/*.parquet"))
+    assert [n for n, _ in months_per_file(layers.silver)] == [5] * 24
+    assert len({file.name.split("-")[1] for file in files}) == 1  # part-<task>-...: one task wrote them all
+    months = [set(pq.read_table(file, partitioning=None).column("month").to_pylist()) for file in files]
+    assert all(len(found) == 1 for found in months)
+    assert layers.silver.read().count() == 120
+
+
 class BesideBronze(Layers):
     def __init__(self, spark, root, bronze_root):
         super().__init__(spark, root)

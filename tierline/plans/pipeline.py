@@ -72,7 +72,7 @@ def conform(layers: Layers, feeds: Iterable[FeedSpec], file_rows: int | None = N
         files = None
         if file_rows is not None:
             files = max(1, -(-bronze.recorded_rows(watermark + 1, ceiling) // file_rows))
-        commits.append(silver.append(to_silver(changes, feed), f"conform {feed.name}", files=files))
+        commits.append(silver.append(to_silver(changes, feed), f"conform {feed.name}", files=files, file_rows=file_rows))
     return [commit for commit in commits if commit is not None]
 
 

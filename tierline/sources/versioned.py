@@ -37,6 +37,7 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("source_version", T.LongType()),  # highest one; NULL without that column
     ]
 )
+TASK_ROWS = 250_000  # of a range layout: a task writes as many files as hold about so many rows
 ATOMIC_RENAMES = {"file", "hdfs", "viewfs"}
 SOURCE_VERSION = "_source_version"
 
@@ -161,6 +162,7 @@ class VersionedTable:
         operation: str,
         version: int | None = None,
         files: int | None = None,
+        file_rows: int | None = None,
         expected: Callable[[], int] | None = None,
     ) -> Commit | None:
         """Publish `df` as the next version (or as `version`); None if it has no rows.
@@ -170,6 +172,8 @@ class VersionedTable:
 
         With `files`, this commit is laid out in so many files of about equal size instead, each a range of
         `order`: one shuffle, after which few files hold any one period. A hot period spans several files.
+        With `file_rows` too, a file's rows, a task writes several small files, one after another, so that tasks
+        (each of which reports to the driver) follow the rows and not the files.
         With `expected`, the rows that the written files' footers tell must be as many, or nothing is published.
         """
         if not self.any_store and (store := scheme(self.spark, self.path)) not in ATOMIC_RENAMES:
@@ -182,15 +186,19 @@ class VersionedTable:
         observed = Observation()
         has_source = SOURCE_VERSION in df.columns
         source = F.max(SOURCE_VERSION if has_source else F.lit(None).cast("bigint"))
+        cuts = {}
         if files is not None and self.order:
-            ranges = [*self.order, "_tie"]  # the tie cuts a period that is larger than a file
-            df = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(files, *ranges).drop("_tie")
+            tasks = files if file_rows is None else -(-files // max(1, TASK_ROWS // file_rows))
+            if tasks < files:
+                cuts = {"maxRecordsPerFile": str(file_rows)}
+            ranges = [*self.order, "_tie"]  # the tie cuts a period that is larger than a task's range
+            df = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(tasks, *ranges).drop("_tie")
         rows = df.observe(observed, F.count(F.lit(1)).alias("rows"), source.alias("source_version"))
         if self.order:  # within write tasks: row groups get narrow ranges, and nothing is shuffled
             rows = rows.sortWithinPartitions(*self.order)
         (
             rows.write.partitionBy(*self.partitions)
-            .options(**TASK_COMMIT)
+            .options(**TASK_COMMIT, **cuts)
             .parquet(staging)
         )
         rows = observed.get["rows"]
