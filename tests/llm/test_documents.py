@@ -413,6 +413,19 @@ def test_packing_covers_every_id_once(docs, corpus, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_words_are_encoded_in_small_lots(monkeypatch):
+    lots = []
+    encoded = packing.WordIds._encoded
+    monkeypatch.setattr(packing.WordIds, "_encoded", lambda self, texts: lots.append(len(texts)) or encoded(self, texts))
+    chance = random.Random(3)
+    words = ["".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(24_000)]
+    encoder = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [" ".join(words[:16_000]), " ".join(words[8000:])]
+    whole = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [memoryview(ids).cast("I").tolist() for ids in encoder.ids(texts)] == whole
+    assert sum(lots) == len(set(words)) and max(lots) <= 8192
+
+
 def test_cut_and_best_fit():
     for tokens in [*range(1, 5000, 7), 2047, 2048, 2049, 4096]:
         lengths = packing.cut(tokens)

@@ -27,8 +27,8 @@ from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ END_ID = 1
 SLACK = 8
 CACHED_WORDS = 1_000_000
 PART_BYTES = 2_000_000
+ENCODED_WORDS = 8192  # words the tokenizer takes at a time: its results are large
 BROADCAST_OFFSETS = 200_000
 
 
@@ -96,7 +97,9 @@ class WordIds:
         if len(self.words) + len(met) > CACHED_WORDS:
             self.words.clear()
         new = list(met - self.words.keys())
-        self.words.update(zip(new, self._encoded(new), strict=True))
+        for at in range(0, len(new), ENCODED_WORDS):
+            some = new[at : at + ENCODED_WORDS]
+            self.words.update(zip(some, self._encoded(some), strict=True))
         known = self.words.__getitem__
         return [
             self._encoded([text])[0] if words is None else b"".join(map(known, words))
@@ -144,7 +147,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str, text: str, capacity: in
         task = TaskContext.get().partitionId()
         next_place: dict[int, int] = {}
         for batch in batches:
-            columns: list[list] = [[] for _ in range(9)]
+            columns: list[list] = [[] for _ in range(9 if with_ids else 8)]
             documents = (ids for part in parts_of(batch.column(1)) for ids in encoder.ids(part))
             for row, ids in enumerate(documents):
                 ids += end
@@ -155,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str, text: str, capacity: in
                     place = next_place.get(j, 0)
                     next_place[j] = place + 1
                     values = (row, start, length, zlib.crc32(part), tokens, j, task, place, part)
-                    for column, value in zip(columns, values, strict=True):
+                    for column, value in zip(columns, values):  # ids are held if asked for
                         column.append(value)
                     start += length
             types = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.int64()]
@@ -234,15 +237,15 @@ def pack(
     place = (F.col("class") * F.lit(1 << 40) + F.col("number")).alias("number")
     rest = numbered.where("not in_full").select(*kept, "full_sequences", place)
 
-    def fill(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("number", ignore_index=True)
-        group["sequence_id"] = best_fit(group["length"].tolist(), capacity)
-        group["sequence_id"] += group["full_sequences"]
-        return group.drop(columns="full_sequences")
+    def fill(group: pa.Table) -> pa.Table:
+        group = group.sort_by("number")
+        placed = best_fit(group.column("length").to_pylist(), capacity)
+        sequences = pc.add(pa.array(placed, pa.int64()), group.column("full_sequences"))
+        return group.drop_columns("full_sequences").append_column("sequence_id", sequences)
 
     kinds = dict(rest.dtypes) | {"sequence_id": "bigint"}
     names = [*kept, "number", "sequence_id"]
-    filled = rest.groupBy("full_sequences").applyInPandas(fill, ", ".join(f"{n} {kinds[n]}" for n in names))
+    filled = rest.groupBy("full_sequences").applyInArrow(fill, ", ".join(f"{n} {kinds[n]}" for n in names))
     everything = full.select(*kept, "sequence_id", "number").unionByName(filled)
     earlier = Window.partitionBy("sequence_id").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("offset")
